@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skysift.llm import license_join, mixing, pii_bootstrap, url_cascade, wavelet
+from skysift.llm import cap_dedup, crf_quality, golay_dedup, license_join, mixing, pii_bootstrap, posting_ann, suffix_pieces, url_cascade, wavelet
 from skysift.llm.common import table
 
 #: The url rules of query op7.
@@ -26,6 +26,21 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = crf_quality.train(docs, table(spark, sf_dir, "labels"))
+    scored = crf_quality.with_score(docs, model, score_col="score")
+    return scored.select("doc_id", crf_quality.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op2_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return posting_ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op3_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cap_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op4_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(table(spark, sf_dir, "documents"), target_entropy=0.9)
     return mixed.select("doc_id", "source", F.col("__tokens").alias("n_tokens"), F.col("__weight").alias("weight"), F.col("__copies").alias("copies"))
@@ -36,6 +51,10 @@ def op5_wavelet_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.read_files(wavelet.write_files(encoded))
 
 
+def op6_suffix_array_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_pieces.round_trip(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op7_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_cascade.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -44,6 +63,10 @@ def op8_license_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_join.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op9_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return golay_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii_bootstrap.find_pii(table(spark, sf_dir, "documents"))
     count = lambda i: F.size(F.filter("base", lambda s: s["kind"] == i)).cast("long")
@@ -52,7 +75,7 @@ def op10_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_temperature_mixing, op5_wavelet_matrix, op7_bloom_cascade, op8_license_join, op10_pii_bootstrap)}
+    return {f.__name__: f for f in (op1_crf_quality, op2_posting_lists, op3_cap_filters, op4_temperature_mixing, op5_wavelet_matrix, op6_suffix_array_pieces, op7_bloom_cascade, op8_license_join, op9_golay_simhash, op10_pii_bootstrap)}
 
 
 def oracle_sql() -> dict[str, str]:
