@@ -23,6 +23,7 @@ table gives no files.
 
 from __future__ import annotations
 
+import itertools
 import re
 import struct
 import zlib
@@ -116,17 +117,15 @@ class WaveletMatrix:
         return low
 
     def values(self) -> np.ndarray:
-        """The whole sequence."""
-        order = None
-        out = np.zeros(self.n, np.uint32)
-        for k, plane in enumerate(self.planes):
-            bit = np.unpackbits(plane, count=self.n, bitorder="little").view(bool) if self.n else np.zeros(0, bool)
-            if order is None:
-                order = np.arange(self.n, dtype=np.uint32)
-            ones = order[bit]
-            out[ones] |= np.uint32(1 << (len(self.planes) - 1 - k))
-            order = np.concatenate([order[~bit], ones])
-        return out
+        """The whole sequence: the partings are undone from the last plane to the first."""
+        now = np.zeros(self.n, np.uint16 if len(self.planes) <= 16 else np.uint32)
+        for k in reversed(range(len(self.planes))):
+            bit = np.unpackbits(self.planes[k], count=self.n, bitorder="little").view(bool)
+            before = np.empty_like(now)
+            before[~bit] = now[: self.zeros[k]]
+            before[bit] = now[self.zeros[k] :] | now.dtype.type(1 << (len(self.planes) - 1 - k))
+            now = before
+        return now
 
 
 def pack(doc_ids: np.ndarray, starts: np.ndarray, values: np.ndarray, levels: int) -> bytes:
@@ -159,11 +158,11 @@ class WordEncoder:
 
     Such a tokenizer parts a text before every single space and around a single
     line break, so the ids of a text are those of its words joined. The ids of
-    words are kept, up to `most`; what is not kept is encoded again. A text with
-    a white-space run or a special token goes to the library as a whole.
+    words are kept, up to `most` words; others are encoded again each time. A
+    text with a white-space run or a special token goes to the library whole.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 800_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -173,40 +172,73 @@ class WordEncoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.width = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 65536 else np.dtype("<u4")
         self.most, self.kept = most, {}
+        self.ends, self.ids = np.zeros(1 << 16, np.int64), np.zeros(1 << 18, self.width)
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype=self.width).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts end to end, their counts)."""
+        lists = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        counts = np.fromiter(map(len, lists), np.int64, len(lists))
+        return np.fromiter(itertools.chain.from_iterable(lists), self.width, int(counts.sum())), counts
 
     def _whole(self, text: str) -> bool:
-        # Other white space than the space and the line break may stand next to either and change how the run is parted.
-        return "  " in text or " \n" in text or "\n\n" in text or any(s in text for s in self.special) or _OTHER_SPACE.search(text) is not None
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The packed ids of each text."""
+        # Other white space may stand next to a space or a line break and change how the run is parted; '\0' is our mark.
+        return "  " in text or " \n" in text or "\n\n" in text or "\0" in text or any(s in text for s in self.special) or _OTHER_SPACE.search(text) is not None
+
+    def _keep(self, words: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
+        n, at = len(self.kept), int(self.ends[len(self.kept)])
+        if n + len(words) + 1 > len(self.ends):
+            self.ends = np.concatenate([self.ends, np.zeros(max(len(words), len(self.ends)), np.int64)])
+        if at + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros(max(len(ids), len(self.ids)), self.width)])
+        self.ids[at : at + len(ids)] = ids
+        self.ends[n + 1 : n + 1 + len(words)] = at + np.cumsum(counts)
+        self.kept.update(zip(words, range(n, n + len(words)), strict=True))
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text."""
         whole = [i for i, t in enumerate(texts) if self._whole(t)]
-        out: list[bytes] = [b""] * len(texts)
-        for i, ids in zip(whole, self._ids([texts[i] for i in whole]), strict=True):
-            out[i] = ids
-        rest = sorted(set(range(len(texts))) - set(whole))
-        # '\n' marks a word after a line break, no mark a word after a space; a text's first word gets '\0'.
-        parts = {i: ("\0" + texts[i].replace("\n", " \n")).split(" ") for i in rest}
-        new = list(set().union(*parts.values()).difference(self.kept)) if parts else []
-        # '\0' first may also stand in a text itself, after a space.
-        fresh = dict(zip(new, self._ids([w if w[:1] == "\n" else " " + w for w in new]), strict=True))
-        if len(self.kept) + len(fresh) > self.most:
-            look = {w: self.kept[w] for p in parts.values() for w in p if w in self.kept}
-            look.update(fresh)
-            for w in list(fresh)[: max(0, self.most - len(self.kept))]:
-                self.kept[w] = fresh[w]
-        else:
-            self.kept.update(fresh)
-            look = self.kept
-        firsts = {i: p[0][1:] for i, p in parts.items()}
-        for (i, p), first in zip(parts.items(), self._ids(list(firsts.values())), strict=True):
-            out[i] = first + b"".join(map(look.__getitem__, p[1:]))
+        out: list[np.ndarray] = [np.zeros(0, self.width)] * len(texts)
+        if whole:
+            ids, counts = self._library([texts[i] for i in whole])
+            for i, part in zip(whole, np.split(ids, np.cumsum(counts)[:-1]), strict=True):
+                out[i] = part
+        rest = sorted(set(range(len(texts))).difference(whole))
+        if not rest:
+            return out
+        # A word after a line break begins with it, a text's first word with '\0'; others came after a space.
+        marked = ["\0" + texts[i].replace("\n", " \n") for i in rest]
+        words = " ".join(marked).split(" ")
+        sizes = np.array([t.count(" ") + 1 for t in marked])
+        index = np.fromiter(map(self.kept.get, words, itertools.repeat(-1)), np.int64, len(words))
+        miss = np.nonzero(index < 0)[0]
+        new = {}
+        index[miss] = [new.setdefault(words[i], len(new)) for i in miss.tolist()]
+        ids, counts = self._library([w[1:] if w[0] == "\0" else w if w[0] == "\n" else " " + w for w in map(_not_empty, new)])
+        begins = np.cumsum(counts) - counts
+        known = np.ones(len(words), bool)
+        known[miss] = False
+        start, count = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
+        start[known], count[known] = self.ends[index[known]], self.ends[index[known] + 1] - self.ends[index[known]]
+        start[miss], count[miss] = len(self.ids) + begins[index[miss]], counts[index[miss]]
+        source = np.concatenate([self.ids, ids])
+        total = np.cumsum(count)
+        flat = source[np.arange(total[-1]) - np.repeat(total - count - start, count)]
+        for i, part in zip(rest, np.split(flat, total[np.cumsum(sizes)[:-1] - 1]), strict=True):
+            out[i] = part
+        again = [k for k, w in enumerate(new) if w[:1] != "\0"][: max(0, self.most - len(self.kept))]
+        if again:
+            take = np.zeros(len(new), bool)
+            take[again] = True
+            names = list(new)
+            self._keep([names[k] for k in again], ids[np.repeat(take, counts)], counts[again])
         return out
 
 
+def _not_empty(word: str) -> str:
+    """A word is empty only where a text ends in a space: then it is that space alone."""
+    return word or "\0 "
+
+
 #: White space other than the space and the line break.
 _OTHER_SPACE = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
@@ -226,14 +258,14 @@ def encode_ids(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id",
             for a in range(0, batch.num_rows, 256):
                 part = batch.slice(a, 256)
                 texts = [t or "" for t in part.column(1).to_pylist()]
-                ids = pa.array([x + end for x in encoder.encode(texts)], pa.binary())
+                ids = pa.array([x.tobytes() + end for x in encoder.encode(texts)], pa.binary())
                 yield pa.RecordBatch.from_arrays([part.column(0), ids, pa.array([encoder.width.itemsize] * len(texts), pa.int32())], names=["doc_id", "ids", "width"])
 
     small_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, ids binary, width int")
 
 
-def write_files(encoded: DataFrame, *, levels: int = 16, shard_tokens: int = 4_000_000, partition_bytes: int = 32 << 20) -> DataFrame:
+def write_files(encoded: DataFrame, *, levels: int = 16, shard_tokens: int = 1_000_000, partition_bytes: int = 32 << 20) -> DataFrame:
     """The table of files for `encoded` (doc_id, ids, width), in ascending doc_id order.
 
     Columns: place and shard (together the order of the files), n_tokens,
