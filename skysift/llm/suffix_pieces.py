@@ -24,12 +24,13 @@ from __future__ import annotations
 
 import heapq
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skysift.llm.common import small_batches
 
@@ -325,21 +326,22 @@ def _pieces(path: str) -> Pieces:
     return _models[path]
 
 
-def encode_pieces(docs: DataFrame, model_path: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, ids array of int)."""
+def encode_pieces(docs: DataFrame, model_path: str, *, id_col: str = "doc_id", text_col: str = "text", also: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, ids array of int) and the columns named in `also`."""
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("__text"), *also)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _pieces(model_path)
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            packed = model.encode(texts)
+            packed = model.encode([t or "" for t in batch.column(1).to_pylist()])
             counts = np.array([len(x) // model.width.itemsize for x in packed], np.int32)
             flat = np.frombuffer(b"".join(packed), model.width).astype(np.int32)
             lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["doc_id", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists, *batch.columns[2:]], names=["doc_id", "ids", *also])
 
-    small_batches(docs.sparkSession, 2000)
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, ids array<int>")
+    small_batches(docs.sparkSession, 1000)
+    schema = T.StructType([slim.schema["doc_id"], T.StructField("ids", T.ArrayType(T.IntegerType())), *[slim.schema[c] for c in also]])
+    return slim.mapInArrow(run, schema)
 
 
 def decode_pieces(encoded: DataFrame, model_path: str) -> DataFrame:
@@ -369,5 +371,5 @@ def round_trip(docs: DataFrame, model_path: str, *, id_col: str = "doc_id", text
                 names=["doc_id", "n_pieces", "ids_crc32", "same"],
             )
 
-    small_batches(docs.sparkSession, 2000)
+    small_batches(docs.sparkSession, 1000)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, n_pieces long, ids_crc32 long, same boolean")
