@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from skysift.plans import detection_queries, scene_queries
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {**detection_queries.QUERIES, **scene_queries.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {**detection_queries.SQL, **scene_queries.SQL}
