@@ -30,7 +30,7 @@ from skysift.llm.common import written
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL = "[A-Za-z0-9._%+-]"
 _LABEL = "[A-Za-z0-9-]++"
-_BYTE = "0*+(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
+_BYTE = "0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
 PATTERNS = {
     "email": rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++@{_LABEL}(?:\.{_LABEL})++",
     "ip": r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
