@@ -79,12 +79,14 @@ def matches(gt: DataFrame, pred: DataFrame, keys: tuple[str, ...] = ("raster_id"
     def run(key: tuple, g: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
         if g.empty or p.empty:
             return pd.DataFrame(columns=[*k, "gt_id", "pred_id", "iou"])
-        g, p = g.sort_values("det_id"), p.sort_values("det_id")
-        rows = [[*key, g.det_id.iloc[i], p.det_id.iloc[j], x] for i, j, x in match(g[_BOX].to_numpy(float), p[_BOX].to_numpy(float))]
+        g, p = g.sort_values("det_id"), p.sort_values("p_det_id")
+        rows = [[*key, g.det_id.iloc[i], p.p_det_id.iloc[j], x] for i, j, x in match(g[_BOX].to_numpy(float), p[[f"p_{c}" for c in _BOX]].to_numpy(float))]
         return pd.DataFrame(rows, columns=[*k, "gt_id", "pred_id", "iou"])
 
     cols = [*k, "det_id", *_BOX]
-    return gt.select(*cols).groupBy(*k).cogroup(pred.select(*cols).groupBy(*k)).applyInPandas(run, schema)
+    # New names, since both sides may come from one table.
+    other = pred.select(*[F.col(c).alias(f"p_{c}") for c in cols]).groupBy(*[f"p_{c}" for c in k])
+    return gt.select(*cols).groupBy(*k).cogroup(other).applyInPandas(run, schema)
 
 
 def report(gt: DataFrame, pred: DataFrame, pairs: DataFrame, *, threshold: float = 0.50, key: str = "label") -> DataFrame:

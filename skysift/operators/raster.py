@@ -183,10 +183,10 @@ def resampled(pixels: DataFrame, scale: float, key: Sequence[str] = ("raster_id"
     """Bilinear resampling to round(n * scale) rows and columns, by pixel centres."""
     k = list(key)
     shape = pixels.groupBy(*k).agg((F.max("row") + 1).alias("h"), (F.max("col") + 1).alias("w"))
-    shape = shape.withColumns({"H": F.greatest(F.bround(F.col("h") * scale), F.lit(1)).cast("long"), "W": F.greatest(F.bround(F.col("w") * scale), F.lit(1)).cast("long")})
-    grid = shape.withColumn("row", F.explode(F.sequence(F.lit(0).cast("long"), F.col("H") - 1))).withColumn("col", F.explode(F.sequence(F.lit(0).cast("long"), F.col("W") - 1)))
+    shape = shape.withColumns({"new_h": F.greatest(F.bround(F.col("h") * scale), F.lit(1)).cast("long"), "new_w": F.greatest(F.bround(F.col("w") * scale), F.lit(1)).cast("long")})
+    grid = shape.withColumn("row", F.explode(F.sequence(F.lit(0).cast("long"), F.col("new_h") - 1))).withColumn("col", F.explode(F.sequence(F.lit(0).cast("long"), F.col("new_w") - 1)))
     at = lambda x, n, m: F.least(F.greatest((F.col(x) + 0.5) * F.col(n) / F.col(m) - 0.5, F.lit(0.0)), F.col(n) - 1.0)
-    grid = grid.withColumns({"y": at("row", "h", "H"), "x": at("col", "w", "W")})
+    grid = grid.withColumns({"y": at("row", "h", "new_h"), "x": at("col", "w", "new_w")})
     grid = grid.withColumn("dy", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("dx", F.explode(F.array(F.lit(0), F.lit(1))))
     fy, fx = F.col("y") - F.floor("y"), F.col("x") - F.floor("x")
     weight = F.when(F.col("dy") == 1, fy).otherwise(1 - fy) * F.when(F.col("dx") == 1, fx).otherwise(1 - fx)

@@ -101,14 +101,14 @@ _W = "CASE model_source WHEN 'florence2' THEN 1.0 WHEN 'grounding_dino' THEN 1.2
 
 
 @query(with_views(greedy_sql("raster_id || '/' || label", "det", "confidence", ">= 0.50") + f"""
-    SELECT raster_id, label, anchor, round(sum(xmin * confidence * w) / greatest(sum(confidence * w), 1e-6), 4) AS xmin, round(sum(ymin * confidence * w) / greatest(sum(confidence * w), 1e-6), 4) AS ymin,
-        round(sum(xmax * confidence * w) / greatest(sum(confidence * w), 1e-6), 4) AS xmax, round(sum(ymax * confidence * w) / greatest(sum(confidence * w), 1e-6), 4) AS ymax,
+    SELECT raster_id, label, anchor, round(sum(xmin * confidence * w) / greatest(sum(confidence * w), 1e-6), 6) AS xmin, round(sum(ymin * confidence * w) / greatest(sum(confidence * w), 1e-6), 6) AS ymin,
+        round(sum(xmax * confidence * w) / greatest(sum(confidence * w), 1e-6), 6) AS xmax, round(sum(ymax * confidence * w) / greatest(sum(confidence * w), 1e-6), 6) AS ymax,
         round(CASE WHEN count(DISTINCT model_source) > 1 THEN least(max(confidence) * (1 + 0.15 * (count(DISTINCT model_source) - 1)), 1.0) ELSE max(confidence) END, 6) AS confidence,
         count(DISTINCT model_source) AS consensus_models
     FROM (SELECT *, CAST({_W} AS DOUBLE) AS w FROM det JOIN greedy USING (det_id)) GROUP BY raster_id, label, anchor""", "det"))
 def wbf_fusion(spark, sf):
     out = su.fuse_boxes(fx.det(spark, sf), keys=("raster_id", "label"))
-    return out.select("raster_id", "label", "anchor", *[F.round(c, 4).alias(c) for c in ("xmin", "ymin", "xmax", "ymax")], F.round("confidence", 6).alias("confidence"), "consensus_models")
+    return out.select("raster_id", "label", "anchor", *[F.round(c, 6).alias(c) for c in ("xmin", "ymin", "xmax", "ymax")], F.round("confidence", 6).alias("confidence"), "consensus_models")
 
 
 @query(with_views(f"SELECT det_id, coalesce(b, trim(lower('  ' || upper(label) || ' '))) AS label FROM det LEFT JOIN {_NAMES_SQL} ON trim(lower('  ' || upper(label) || ' ')) = a", "det"))
