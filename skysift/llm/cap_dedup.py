@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from skysift.llm.common import small_batches, written
 from skysift.llm.components import components
-from skysift.llm.vectors import matrix, packed_vectors, usual_width
+from skysift.llm.vectors import matrix, number_kind, packed_vectors, usual_width
 
 
 class ProductCode:
@@ -85,12 +85,12 @@ class ProductCode:
         return out
 
 
-def _count_links(rows: pa.Table, width: int, threshold: float, own: int, out: pa.Schema) -> pa.Table:
+def _count_links(rows: pa.Table, width: int, kind: str, threshold: float, own: int, out: pa.Schema) -> pa.Table:
     """Partial link counts and forest edges of one filter's group, or of a pair of its blocks."""
-    x = matrix(rows.column("v").combine_chunks(), width)
+    x = matrix(rows.column("v").combine_chunks(), width, kind)
     ids, copies = rows.column("vec_id").to_numpy(), rows.column("copies").to_numpy()
     side, one_block = rows.column("side").to_numpy(), rows.column("lower").to_numpy()[0] == rows.column("upper").to_numpy()[0]
-    filters = [np.frombuffer(f, "<i8") for f in rows.column("filters").to_pylist()]
+    filters = [np.frombuffer(f, "<i4") for f in rows.column("filters").to_pylist()]
     norm = np.sqrt((x**2).sum(1))
     near = (x @ x.T) / (norm[:, None] * norm[None, :]) >= threshold
     np.fill_diagonal(near, False)
@@ -119,9 +119,9 @@ def _count_links(rows: pa.Table, width: int, threshold: float, own: int, out: pa
     return pa.table([ids[some], links.astype(np.int64), ids[some][label]], schema=out)
 
 
-def near_vectors(df: DataFrame, *, threshold: float = 0.9, id_col: str = "vec_id", vector_col: str = "embedding", passes: float = 24.0, least: int = 12, max_code: int = 1024, group_rows: int = 512) -> DataFrame:
+def near_vectors(df: DataFrame, *, threshold: float = 0.9, id_col: str = "vec_id", vector_col: str = "embedding", passes: float = 20.0, least: int = 12, max_code: int = 1024, group_rows: int = 512) -> DataFrame:
     """One row a vector: vec_id, n_links, component_id, kept."""
-    spark = df.sparkSession
+    spark, kind = df.sparkSession, number_kind(df, vector_col)
     packed = written(packed_vectors(df, id_col=id_col, vector_col=vector_col), "vectors")
     width = usual_width(packed)
     distinct = packed.filter(F.length("v") == width).groupBy("v").agg(F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("copies"))
@@ -130,16 +130,16 @@ def near_vectors(df: DataFrame, *, threshold: float = 0.9, id_col: str = "vec_id
     alone = packed.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     if not n:
         return alone
-    code = ProductCode(width // 8, int(min(max_code, max(16, np.ceil(np.sqrt(n))))), passes, least)
+    code = ProductCode(width // np.dtype(kind).itemsize, int(min(max_code, max(16, np.ceil(np.sqrt(n))))), passes, least)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a in range(0, batch.num_rows, 256):
                 part = batch.slice(a, 256)
-                x = matrix(part.column(0), width)
+                x = matrix(part.column(0), width, kind)
                 found = code.decode(x / np.linalg.norm(x, axis=1, keepdims=True))
                 row = np.repeat(np.arange(len(found)), [len(f) for f in found])
-                lists = pa.array([f.astype("<i8").tobytes() for f in found], pa.binary())
+                lists = pa.array([f.astype("<i4").tobytes() for f in found], pa.binary())
                 take = pa.array(row)
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)), part.column(1).take(take), part.column(2).take(take), part.column(0).take(take), lists.take(take)], names=["filter", "vec_id", "copies", "v", "filters"])
 
@@ -153,8 +153,10 @@ def near_vectors(df: DataFrame, *, threshold: float = 0.9, id_col: str = "vec_id
     out_schema = pa.schema([("vec_id", pa.int64()), ("links", pa.int64()), ("other", pa.int64())])
 
     def count(key: tuple, rows: pa.Table) -> pa.Table:
-        return _count_links(rows, width, threshold, key[0].as_py(), out_schema)
+        return _count_links(rows, width, kind, threshold, key[0].as_py(), out_schema)
 
+    # Partitions of bounded size, whatever the session's number: a row has some 400 bytes.
+    cut = cut.repartition(max(1, passed.count() // 30_000), "filter", "lower", "upper")
     partial = written(cut.groupBy("filter", "lower", "upper").applyInArrow(count, "vec_id long, links long, other long"), "partial-links")
     links = partial.groupBy("vec_id").agg(F.sum("links").alias("links"))
     roots = components(partial.filter("vec_id != other").select(F.col("vec_id").alias("a"), F.col("other").alias("b")))

@@ -8,12 +8,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skysift.llm.common import small_batches
 
 
+def number_kind(df: DataFrame, vector_col: str = "embedding") -> str:
+    """'<f4' for vectors of floats, else '<f8': what holds the numbers as they are."""
+    return "<f4" if df.schema[vector_col].dataType.elementType == T.FloatType() else "<f8"
+
+
 def packed_vectors(df: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """(vec_id, v): vectors as packed 64-bit floats; null where one is null, zero, or holds null or non-finite numbers."""
+    """(vec_id, v): vectors as packed numbers of their kind; null where one is null, zero, or holds null or non-finite numbers."""
+    kind = number_kind(df, vector_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -23,8 +30,8 @@ def packed_vectors(df: DataFrame, *, id_col: str = "vec_id", vector_col: str = "
                 if values is None or not len(values) or values.null_count:
                     out.append(None)
                     continue
-                v = values.to_numpy(zero_copy_only=False).astype("<f8")
-                out.append((v + 0.0).tobytes() if np.isfinite(v).all() and v.any() else None)
+                v = values.to_numpy(zero_copy_only=False).astype(kind)
+                out.append((v + v.dtype.type(0)).tobytes() if np.isfinite(v).all() and v.any() else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["vec_id", "v"])
 
     small_batches(df.sparkSession, 5000)
@@ -37,6 +44,6 @@ def usual_width(vectors: DataFrame) -> int:
     return row.n if row else 0
 
 
-def matrix(column: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
-    """Packed vectors of `width` bytes as the rows of a matrix."""
-    return np.frombuffer(b"".join(column.to_pylist()), "<f8").reshape(-1, width // 8)
+def matrix(column: pa.Array | pa.ChunkedArray, width: int, kind: str) -> np.ndarray:
+    """Packed vectors of `width` bytes as the rows of a matrix in double precision."""
+    return np.frombuffer(b"".join(column.to_pylist()), kind).astype(np.float64).reshape(-1, width // np.dtype(kind).itemsize)
