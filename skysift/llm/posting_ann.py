@@ -6,14 +6,16 @@ to the list of its nearest centroid and, where it lies near a boundary, to some
 more: those within `boundary` times the least squared distance, `copies` lists
 at the most. A list longer than `list_rows` is split into sublists by hash, so
 lists are balanced whatever the data. A query reads the lists whose squared
-distance is within `ratio` times that of the nearest, `probes` at the most.
+distance is within `ratio` times that of the nearest, `least_probes` at least
+and `probes` at the most.
 
 The measure is the largest inner product. It is searched as Euclidean distance
 in one more dimension: vectors, scaled by the largest norm, are lifted to the
 unit sphere, and queries get a zero there; distances then order as products do.
 
-A bound for each query spares traffic: its 20th best product within the sample
-can only be beaten by a true answer, so worse ones are not sent on.
+A bound for each query spares traffic: its k-th best product within the sample
+can only be beaten by a true answer, so worse ones are not sent on. Its k best
+of the sample are found rows themselves, so every query gets k where there are.
 
 Of equal vectors only the least `k` + 1 ids can be among the `k` nearest of any
 query, since ties go to the smaller id; longer groups of equal vectors are cut
@@ -37,11 +39,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skysift.llm.common import small_batches, written
-from skysift.llm.vectors import matrix, packed_vectors, usual_width
+from skysift.llm.vectors import matrix, number_kind, packed_vectors, usual_width
 
 
 class CentroidGraph:
-    """Centroids and for each its nearest others and a few far ones."""
+    """Centroids, and for each its nearest others, those it is among the very nearest of, and a few far ones."""
 
     def __init__(self, centroids: np.ndarray, near: int = 16, far: int = 4, seed: int = 7):
         self.c = centroids
@@ -51,7 +53,14 @@ class CentroidGraph:
         d = self.norm[None, :] - 2 * centroids @ centroids.T
         np.fill_diagonal(d, np.inf)
         links = np.argpartition(d, near - 1, axis=1)[:, :near] if near else np.zeros((n, 0), np.int64)
-        self.links = np.hstack([links, np.random.default_rng(seed).integers(0, n, (n, far))])
+        own = np.arange(n)
+        to = [[*a, *b] for a, b in zip(links.tolist(), np.random.default_rng(seed).integers(0, n, (n, far)).tolist(), strict=True)]
+        # Links back, or a centroid that lies apart is no one's neighbour and never found.
+        for i, row in enumerate(np.argsort(d, axis=1)[:, : min(4, n - 1)].tolist()):
+            for k in row:
+                to[k].append(i)
+        width = max(map(len, to))
+        self.links = np.array([list(dict.fromkeys(t)) + [i] * (width - len(dict.fromkeys(t))) for i, t in zip(own.tolist(), to, strict=True)])
         self.entry = np.argsort(((centroids - centroids.mean(0)) ** 2).sum(1))[: min(n, 8)]
 
     def search(self, x: np.ndarray, k: int, beam: int) -> tuple[np.ndarray, np.ndarray]:
@@ -75,13 +84,6 @@ class CentroidGraph:
             next_ = self.links[ids[live, best[live]]]
             new = ~seen[live[:, None], next_]
             seen[live[:, None], next_] = True
-            # A centroid linked twice from one other counts once.
-            order = np.sort(next_, axis=1)
-            if (order[:, 1:] == order[:, :-1]).any():
-                first = np.zeros(next_.shape, bool)
-                for r in range(len(next_)):
-                    first[r, np.unique(next_[r], return_index=True)[1]] = True
-                new &= first
             d = own[live][:, None] + self.norm[next_] - 2 * np.einsum("nd,nkd->nk", x[live], self.c[next_])
             more_ids, more_d, more_open = np.full((n, next_.shape[1]), -1), np.full((n, next_.shape[1]), np.inf), np.zeros((n, next_.shape[1]), bool)
             more_ids[live], more_d[live], more_open[live] = next_, np.where(new, d, np.inf), new
@@ -108,9 +110,9 @@ def balanced_centroids(x: np.ndarray, k: int, *, rounds: int = 8, seed: int = 7)
     return c
 
 
-def nearest(df: DataFrame, *, k: int = 20, query_every: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", sample_rows: int = 8192, lists: int | None = None, copies: int = 4, boundary: float = 1.15, probes: int = 96, ratio: float = 1.6, list_rows: int = 2000, query_rows: int = 2000) -> DataFrame:
+def nearest(df: DataFrame, *, k: int = 20, query_every: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", sample_rows: int = 8192, lists: int | None = None, copies: int = 4, boundary: float = 1.15, probes: int = 96, least_probes: int = 8, ratio: float = 1.6, list_rows: int = 2000, query_rows: int = 2000) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of every row whose id divides by `query_every`, against all rows."""
-    spark = df.sparkSession
+    spark, kind = df.sparkSession, number_kind(df, vector_col)
     packed = packed_vectors(df, id_col=id_col, vector_col=vector_col).filter("v is not null and vec_id is not null")
     packed = written(packed, "vectors")
     width = usual_width(packed)
@@ -126,13 +128,13 @@ def nearest(df: DataFrame, *, k: int = 20, query_every: int = 20, id_col: str =
         return empty
 
     sample = index.orderBy(F.xxhash64("v", "vec_id"), "vec_id").limit(sample_rows).toPandas()  # the bounded sample
-    sample_x, sample_ids = matrix(pa.array(sample["v"]), width), sample["vec_id"].to_numpy()
+    sample_x, sample_ids = matrix(pa.array(sample["v"]), width, kind), sample["vec_id"].to_numpy()
     norm_of = lambda b: np.sqrt((b**2).sum(1))
 
     def norms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                yield pa.RecordBatch.from_arrays([pa.array([float(norm_of(matrix(batch.column(0), width)).max())])], names=["m"])
+                yield pa.RecordBatch.from_arrays([pa.array([float(norm_of(matrix(batch.column(0), width, kind)).max())])], names=["m"])
 
     most = index.select("v").mapInArrow(norms, "m double").agg(F.max("m")).first()[0]
 
@@ -146,33 +148,41 @@ def nearest(df: DataFrame, *, k: int = 20, query_every: int = 20, id_col: str =
     n_lists = min(len(sample_x), lists or int(min(1024, max(1, round(2 * np.sqrt(n) / 8) * 4))))
     graph = CentroidGraph(balanced_centroids(lift(sample_x), n_lists))
 
-    def to_lists(ids: np.ndarray, dist: np.ndarray, bound: float) -> tuple[np.ndarray, np.ndarray]:
-        return np.nonzero((ids >= 0) & (dist <= np.maximum(dist[:, :1], 1e-12) * bound))
+    def to_lists(ids: np.ndarray, dist: np.ndarray, bound: float, least: int = 1) -> tuple[np.ndarray, np.ndarray]:
+        return np.nonzero((ids >= 0) & ((dist <= np.maximum(dist[:, :1], 1e-12) * bound) | (np.arange(ids.shape[1]) < least)))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a in range(0, batch.num_rows, 512):
                 part = batch.slice(a, 512)
-                ids, dist = graph.search(lift(matrix(part.column(1), width)), copies, 24)
+                ids, dist = graph.search(lift(matrix(part.column(1), width, kind)), copies, 24)
                 row, col = to_lists(ids, dist, boundary)
                 yield pa.RecordBatch.from_arrays([pa.array(ids[row, col], pa.int64()), part.column(0).take(pa.array(row)), part.column(1).take(pa.array(row))], names=["list", "vec_id", "v"])
 
+    asked_names = ["list", "query_id", "q", "bound", "vec_id", "score"]
+
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a in range(0, batch.num_rows, 512):
                 part = batch.slice(a, 512)
-                x = matrix(part.column(1), width)
+                x = matrix(part.column(1), width, kind)
                 ids, dist = graph.search(as_query(x), probes, probes + 16)
                 products = x @ sample_x.T
                 products[part.column(0).to_numpy()[:, None] == sample_ids[None, :]] = -np.inf
                 bound = np.partition(products, -k, axis=1)[:, -k] if products.shape[1] >= k else np.full(len(x), -np.inf)
                 bound = np.where(np.isfinite(bound), bound - 1e-9 * (1 + np.abs(bound)), -np.inf)
-                row, col = to_lists(ids, dist, ratio)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[row, col], pa.int64()), part.column(0).take(pa.array(row)), part.column(1).take(pa.array(row)), pa.array(bound[row])], names=["list", "query_id", "q", "bound"])
+                row, col = to_lists(ids, dist, ratio, least_probes)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[row, col], pa.int64()), part.column(0).take(pa.array(row)), part.column(1).take(pa.array(row)), pa.array(bound[row]), pa.nulls(len(row), pa.int64()), pa.nulls(len(row), pa.float64())], names=asked_names
+                )
+                hit, at = np.nonzero((products >= bound[:, None]) & (products > -np.inf))
+                exact = np.einsum("nd,nd->n", x[hit], sample_x[at])
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(hit), pa.int64()), part.column(0).take(pa.array(hit)), pa.nulls(len(hit), pa.binary()), pa.nulls(len(hit), pa.float64()), pa.array(sample_ids[at]), pa.array(exact)], names=asked_names)
 
     small_batches(spark, 5000)
     postings = written(index.mapInArrow(assign, "list long, vec_id long, v binary"), "postings")
-    asked = written(queries.mapInArrow(probe, "list long, query_id long, q binary, bound double"), "probes")
+    probed = written(queries.mapInArrow(probe, "list long, query_id long, q binary, bound double, vec_id long, score double"), "probes")
+    asked = probed.filter("list is not null").select("list", "query_id", "q", "bound")
     # One row a list (1,024 at the most): into how many sublists and query blocks it is cut.
     cuts = postings.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / list_rows).cast("int").alias("subs"))
     blocks = asked.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / query_rows).cast("int").alias("blocks"))
@@ -184,8 +194,8 @@ def nearest(df: DataFrame, *, k: int = 20, query_every: int = 20, id_col: str =
     def meet(vectors: pa.Table, asks: pa.Table) -> pa.Table:
         if not vectors.num_rows or not asks.num_rows:
             return out_schema.empty_table()
-        x, ids = matrix(vectors.column("v").combine_chunks(), width), vectors.column("vec_id").to_numpy()
-        q, q_ids, bound = matrix(asks.column("q").combine_chunks(), width), asks.column("query_id").to_numpy(), asks.column("bound").to_numpy()
+        x, ids = matrix(vectors.column("v").combine_chunks(), width, kind), vectors.column("vec_id").to_numpy()
+        q, q_ids, bound = matrix(asks.column("q").combine_chunks(), width, kind), asks.column("query_id").to_numpy(), asks.column("bound").to_numpy()
         found = []
         for a in range(0, len(q), 256):
             s = q[a : a + 256] @ x.T
@@ -199,6 +209,7 @@ def nearest(df: DataFrame, *, k: int = 20, query_every: int = 20, id_col: str =
 
     met = left.groupBy("list", "sub", "block").cogroup(right.groupBy("list", "sub", "block")).applyInArrow(meet, "query_id long, vec_id long, score double")
     # A vector may come from several lists, with the same score each time.
+    met = met.unionByName(probed.filter("list is null").select("query_id", "vec_id", "score"))
     once = met.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return once.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
