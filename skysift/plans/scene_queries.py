@@ -133,7 +133,7 @@ def mosaic_overview(spark, sf):
     big AS (SELECT *, CAST(greatest(round_even(h * 0.6, 0), 1) AS BIGINT) AS hh, CAST(greatest(round_even(w * 0.6, 0), 1) AS BIGINT) AS ww FROM shape),
     spot AS (SELECT raster_id, h, w, r.x AS row, c.x AS col, least(greatest((r.x + 0.5::DOUBLE) * h / hh - 0.5, 0), h - 1) AS y, least(greatest((c.x + 0.5::DOUBLE) * w / ww - 0.5, 0), w - 1) AS x FROM big, range(0, 64) r(x), range(0, 64) c(x) WHERE r.x < hh AND c.x < ww),
     four AS (SELECT raster_id, row, col, least(floor(y) + dy, h - 1) AS rr, least(floor(x) + dx, w - 1) AS cc, (CASE WHEN dy = 1 THEN y - floor(y) ELSE 1 - (y - floor(y)) END) * (CASE WHEN dx = 1 THEN x - floor(x) ELSE 1 - (x - floor(x)) END) AS f FROM spot, (VALUES (0), (1)) a(dy), (VALUES (0), (1)) b(dx))
-    SELECT f.raster_id, f.row, f.col, round(sum(p.value * f), 4) AS value FROM four f JOIN pixels p ON p.raster_id = f.raster_id AND p.row = rr AND p.col = cc GROUP BY ALL""".replace("* f)", "* f.f)"), "pixels"))
+    SELECT f.raster_id, f.row, f.col, round(sum(p.value * f.f), 4) AS value FROM four f JOIN pixels p ON p.raster_id = f.raster_id AND p.row = rr AND p.col = cc GROUP BY ALL""", "pixels"))
 def resample_bilinear(spark, sf):
     return ra.resampled(fx.pixels(spark, sf), 0.6).select("raster_id", "row", "col", r("value", 4))
 
@@ -151,20 +151,11 @@ def pol_ratio(spark, sf):
     return wide.select("raster_id", "row", "col", F.round(ra.polarisation_ratio(F.col("d0"), F.col("d1")), 4).alias("ratio"))
 
 
-def _near(radius: int, source: str = "pixels", value: str = "value") -> str:
-    """CTE `near` (raster_id, row, col, value, dr, dc, near): squares mirrored at the border."""
-    mirror = lambda x, n: f"CASE WHEN {x} < 0 THEN -({x}) - 1 WHEN {x} >= {n} THEN 2 * {n} - 1 - ({x}) ELSE {x} END"
-    return f""", size AS (SELECT raster_id, max(row) + 1 AS h, max(col) + 1 AS w FROM {source} GROUP BY 1),
-    near AS (SELECT p.raster_id, p.row, p.col, p.{value} AS value, dr, dc, q.{value} AS near FROM {source} p JOIN size USING (raster_id), range(-{radius}, {radius + 1}) a(dr), range(-{radius}, {radius + 1}) b(dc)
-        LEFT JOIN {source} q ON q.raster_id = p.raster_id AND q.row = ({mirror('p.row + dr', 'h')}) AND q.col = ({mirror('p.col + dc', 'w')}))"""
-
-
 def _near_sql(radius: int, source: str = "pixels", value: str = "value") -> str:
-    text = _near(radius, source, value)
-    # The mirrored position first, then a plain equi-join.
-    head, tail = text.split("near AS (", 1)
+    """CTE `near` (raster_id, row, col, value, dr, dc, near): squares mirrored at the border, by an equi-join on the mirrored position."""
     mirror = lambda x, n: f"CASE WHEN {x} < 0 THEN -({x}) - 1 WHEN {x} >= {n} THEN 2 * {n} - 1 - ({x}) ELSE {x} END"
-    return f"""{head}spots AS (SELECT p.raster_id, p.row, p.col, p.{value} AS value, dr, dc, {mirror('p.row + dr', 'h')} AS rr, {mirror('p.col + dc', 'w')} AS cc FROM {source} p JOIN size USING (raster_id), range(-{radius}, {radius + 1}) a(dr), range(-{radius}, {radius + 1}) b(dc)),
+    return f""", size AS (SELECT raster_id, max(row) + 1 AS h, max(col) + 1 AS w FROM {source} GROUP BY 1),
+    spots AS (SELECT p.raster_id, p.row, p.col, p.{value} AS value, dr, dc, {mirror('p.row + dr', 'h')} AS rr, {mirror('p.col + dc', 'w')} AS cc FROM {source} p JOIN size USING (raster_id), range(-{radius}, {radius + 1}) a(dr), range(-{radius}, {radius + 1}) b(dc)),
     near AS (SELECT s.raster_id, s.row, s.col, s.value, dr, dc, q.{value} AS near FROM spots s LEFT JOIN {source} q ON q.raster_id = s.raster_id AND q.row = rr AND q.col = cc)"""
 
 
@@ -189,11 +180,7 @@ def speckle_gaussian(spark, sf):
 
 @query(with_views("SELECT raster_id, round(var_pop(value), 4) AS variance, var_pop(value) >= 15 AS is_good FROM pixels GROUP BY 1", "pixels"))
 def crop_quality(spark, sf):
-    return ra_quality(fx.pixels(spark, sf))
-
-
-def ra_quality(pixels):
-    return ch.crop_quality(pixels, ["raster_id"]).select("raster_id", r("variance", 4), "is_good")
+    return ch.crop_quality(fx.pixels(spark, sf), ["raster_id"]).select("raster_id", r("variance", 4), "is_good")
 
 
 _COS = "list_sum(list_transform(range(1, 65), lambda i: CAST({0}[i] AS DOUBLE) * CAST({1}[i] AS DOUBLE)))"
@@ -276,8 +263,8 @@ def ecc_align(spark, sf):
     return ch.shift_estimate(pair).select("pair_id", *[F.round(c, 2).alias(c) for c in ("theta", "tx", "ty")])
 
 
-_STATUS = f""", s AS (SELECT e.site_id, e.seq, e.seq = f.seq AS base, ({_cos('e.embedding', 'f.embedding')} + 1) / 2 AS s FROM emb_series e JOIN (SELECT site_id, min(seq) AS seq, arg_min(embedding, seq) AS embedding, count(*) AS n FROM emb_series GROUP BY 1) f USING (site_id) WHERE n >= 2),
-    st AS (SELECT site_id, seq, CASE WHEN base THEN 1::DOUBLE ELSE round_even(s, 4) END AS similarity, CASE WHEN base THEN 'baseline' WHEN s >= 0.85 THEN 'intact' ELSE 'altered/destroyed' END AS status FROM s)""".replace("JOIN (SELECT site_id, min(seq) AS seq", "JOIN (SELECT site_id, min(seq) AS seq").replace("USING (site_id)", "ON e.site_id = f.site_id")
+_STATUS = f""", s AS (SELECT e.site_id, e.seq, e.seq = f.seq AS base, ({_cos('e.embedding', 'f.embedding')} + 1) / 2 AS s FROM emb_series e JOIN (SELECT site_id, min(seq) AS seq, arg_min(embedding, seq) AS embedding, count(*) AS n FROM emb_series GROUP BY 1) f ON e.site_id = f.site_id WHERE n >= 2),
+    st AS (SELECT site_id, seq, CASE WHEN base THEN 1::DOUBLE ELSE round_even(s, 4) END AS similarity, CASE WHEN base THEN 'baseline' WHEN s >= 0.85 THEN 'intact' ELSE 'altered/destroyed' END AS status FROM s)"""
 
 
 @query(with_views(_STATUS + " SELECT * FROM st", "emb_series"))
