@@ -369,7 +369,8 @@ def keep_first(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     """
     found = written(near_duplicates(docs, id_col=id_col, text_col=text_col, **params).filter("doc_id = component_id").select(F.col("doc_id").alias("__id")), "kept-ids")
     rows, ids = found.agg(F.count(F.lit(1)), F.count_distinct("__id")).first()
-    out = docs.filter(F.col(id_col).isNotNull()).join(found, F.col(id_col).cast("long") == F.col("__id"), "left_semi")
+    # Always a shuffled join, so that the plan is the same at every size.
+    out = docs.filter(F.col(id_col).isNotNull()).join(found.hint("merge"), F.col(id_col).cast("long") == F.col("__id"), "left_semi")
     if rows != ids:
         out = out.dropDuplicates([id_col])
     return out.unionByName(docs.filter(F.col(id_col).isNull()))
