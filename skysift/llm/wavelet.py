@@ -246,13 +246,18 @@ _OTHER_SPACE = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u20
 _encoders: dict[str, WordEncoder] = {}
 
 
+def _encoder(path: str) -> WordEncoder:
+    """The encoder of this worker, kept for its next tasks (a closure would get a copy of the dictionary with each task)."""
+    if path not in _encoders:
+        _encoders[path] = WordEncoder(path)
+    return _encoders[path]
+
+
 def encode_ids(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0) -> DataFrame:
     """(doc_id, ids as packed bytes, width of an id); every text ends with `end_id`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if tokenizer_path not in _encoders:  # kept for the next task of this worker
-            _encoders[tokenizer_path] = WordEncoder(tokenizer_path)
-        encoder = _encoders[tokenizer_path]
+        encoder = _encoder(tokenizer_path)
         end = np.array([end_id], dtype=encoder.width).tobytes()
         for batch in batches:
             for a in range(0, batch.num_rows, 256):
