@@ -24,6 +24,13 @@ def register(name: str, factory: Callable[[], object]) -> None:
     _factories[name] = factory
 
 
+def _model(name: str, factory: Callable[[], object]):
+    """The model of this worker, built on first use and kept for its next tasks."""
+    if name not in _built:
+        _built[name] = factory()
+    return _built[name]
+
+
 class Stub:
     """Deterministic boxes from the tile's name; not a model."""
 
@@ -47,13 +54,12 @@ def detect(tiles: DataFrame, name: str, targets: list[str], *, key: str = "filen
     factory = _factories[name]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        if name not in _built:
-            _built[name] = factory()
+        model = _model(name, factory)
         for batch in batches:
             rows = []
             for tile in batch[key]:
                 try:
-                    found = _built[name].predict(tile, targets)
+                    found = model.predict(tile, targets)
                 except Exception:  # a bad tile must not end the run
                     continue
                 rows += [[tile, *bbox, label, float(score)] for bbox, label, score in found]
