@@ -7,14 +7,19 @@ words is a direction. So the cosines with all C * C directions are sums of two
 of 2 * C numbers, and the filters a vector passes are listed by decoding, not
 by trying them all. Vectors that share a filter are compared exactly.
 
-The threshold is set so that a vector passes about `passes` filters; one that
-passes fewer gets its nearest `least` all the same. C * C follows the number of
-vectors, so a filter holds about `passes` vectors at any size. Two vectors of
-cosine 0.9 miss each other in all their filters in fewer than 1 of 1,000 cases,
-nearer ones more rarely still.
-
-A pair is counted in the first filter that it shares (each row brings along its
-list), so pairs are never sent anywhere: a group gives partial link counts and
+The threshold is set so that a vector passes about `passes` filters of a code;
+one that passes fewer gets its nearest `least` all the same. C * C follows the
+number of vectors, so a filter holds about `passes` vectors up to max_code ** 2
+vectors. Two vectors at the link threshold share no filter of one code the more
+often the more filters there are (3.5 % at 51,282 vectors of 64 dimensions), so
+there are as many codes, each in a random rotation of the space, as it takes
+for at most `miss` of such pairs to be missed in all of them. That is measured
+on random pairs at exactly that cosine before a vector is read; a rotation
+makes any pair as good as a random one, so the measured rate holds for any
+vectors. Nearer pairs are missed more rarely.
+
+A pair is counted in the first filter that it shares (each row brings along the
+part of its list before its own filter), so pairs are never sent anywhere: a group gives partial link counts and
 the edges of a spanning forest. A filter with more than `group_rows` vectors is
 cut into blocks, and each pair of blocks is a group.
 
@@ -85,12 +90,43 @@ class ProductCode:
         return out
 
 
-def _count_links(rows: pa.Table, width: int, kind: str, threshold: float, own: int, out: pa.Schema) -> pa.Table:
+class RotatedCodes:
+    """Product codes in random rotations: as many as leave at most `miss` of the pairs at cosine `threshold` without a shared filter."""
+
+    def __init__(self, dims: int, size: int, passes: float, least: int, threshold: float, miss: float, seed: int = 7):
+        rng = np.random.default_rng([seed, 1])
+        self.codes: list[tuple[np.ndarray, ProductCode]] = []
+        pairs = int(np.ceil(20 / miss))
+        x, y = rng.standard_normal((2, pairs, dims))
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        y -= (x * y).sum(1, keepdims=True) * x
+        y /= np.maximum(np.linalg.norm(y, axis=1, keepdims=True), 1e-300)
+        y = threshold * x + np.sqrt(max(0.0, 1 - threshold**2)) * y
+        while True:
+            turn = np.linalg.qr(rng.standard_normal((dims, dims)))[0]
+            self.codes.append((turn, ProductCode(dims, size, passes, least, seed + len(self.codes))))
+            apart = [not np.intersect1d(a, b, assume_unique=True).size for a, b in zip(self._one(-1, x), self._one(-1, y), strict=True)]
+            x, y = x[apart], y[apart]
+            # Two standard errors are left for the draw of the pairs.
+            if dims < 2 or len(x) + 2 * np.sqrt(len(x)) <= miss * pairs:
+                break
+
+    def _one(self, k: int, x: np.ndarray) -> list[np.ndarray]:
+        turn, code = self.codes[k]
+        return code.decode(x @ turn)
+
+    def decode(self, x: np.ndarray) -> list[np.ndarray]:
+        """The sorted filter numbers, over all codes, that each row of x (unit vectors) passes."""
+        found = [[f + k * code.size**2 for f in self._one(k, x)] for k, (_, code) in enumerate(self.codes)]
+        return [np.concatenate(f) for f in zip(*found, strict=True)]
+
+
+def _count_links(rows: pa.Table, width: int, kind: str, threshold: float, out: pa.Schema) -> pa.Table:
     """Partial link counts and forest edges of one filter's group, or of a pair of its blocks."""
     x = matrix(rows.column("v").combine_chunks(), width, kind)
     ids, copies = rows.column("vec_id").to_numpy(), rows.column("copies").to_numpy()
     side, one_block = rows.column("side").to_numpy(), rows.column("lower").to_numpy()[0] == rows.column("upper").to_numpy()[0]
-    filters = [np.frombuffer(f, "<i4") for f in rows.column("filters").to_pylist()]
+    filters = [np.frombuffer(f, "<i4") for f in rows.column("earlier").to_pylist()]
     norm = np.sqrt((x**2).sum(1))
     near = (x @ x.T) / (norm[:, None] * norm[None, :]) >= threshold
     np.fill_diagonal(near, False)
@@ -101,7 +137,7 @@ def _count_links(rows: pa.Table, width: int, kind: str, threshold: float, own: i
     some = np.nonzero(near.any(1))[0]
     near = near[np.ix_(some, some)]
     # Pairs that share a filter with a smaller number are counted there.
-    before = [filters[i][filters[i] < own] for i in some]
+    before = [filters[i] for i in some]
     flat = np.concatenate(before)
     shared = np.zeros((len(some), len(some)), bool)
     if len(flat):
@@ -119,7 +155,7 @@ def _count_links(rows: pa.Table, width: int, kind: str, threshold: float, own: i
     return pa.table([ids[some], links.astype(np.int64), ids[some][label]], schema=out)
 
 
-def near_vectors(df: DataFrame, *, threshold: float = 0.9, id_col: str = "vec_id", vector_col: str = "embedding", passes: float = 20.0, least: int = 12, max_code: int = 1024, group_rows: int = 512) -> DataFrame:
+def near_vectors(df: DataFrame, *, threshold: float = 0.9, id_col: str = "vec_id", vector_col: str = "embedding", passes: float = 20.0, least: int = 12, max_code: int = 1024, group_rows: int = 512, miss: float = 0.001) -> DataFrame:
     """One row a vector: vec_id, n_links, component_id, kept."""
     spark, kind = df.sparkSession, number_kind(df, vector_col)
     packed = written(packed_vectors(df, id_col=id_col, vector_col=vector_col), "vectors")
@@ -130,7 +166,7 @@ def near_vectors(df: DataFrame, *, threshold: float = 0.9, id_col: str = "vec_id
     alone = packed.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     if not n:
         return alone
-    code = ProductCode(width // np.dtype(kind).itemsize, int(min(max_code, max(16, np.ceil(np.sqrt(n))))), passes, least)
+    code = RotatedCodes(width // np.dtype(kind).itemsize, int(min(max_code, max(16, np.ceil(np.sqrt(n))))), passes, least, threshold, miss)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -140,23 +176,24 @@ def near_vectors(df: DataFrame, *, threshold: float = 0.9, id_col: str = "vec_id
                 found = code.decode(x / np.linalg.norm(x, axis=1, keepdims=True))
                 row = np.repeat(np.arange(len(found)), [len(f) for f in found])
                 lists = pa.array([f.astype("<i4").tobytes() for f in found], pa.binary())
+                nth = np.concatenate([np.arange(len(f), dtype=np.int32) for f in found])
                 take = pa.array(row)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)), part.column(1).take(take), part.column(2).take(take), part.column(0).take(take), lists.take(take)], names=["filter", "vec_id", "copies", "v", "filters"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)), part.column(1).take(take), part.column(2).take(take), part.column(0).take(take), lists.take(take), pa.array(nth)], names=["filter", "vec_id", "copies", "v", "filters", "nth"])
 
     small_batches(spark, 5000)
-    passed = written(distinct.select("v", "vec_id", "copies").mapInArrow(decode, "filter long, vec_id long, copies long, v binary, filters binary"), "passed-filters")
+    passed = written(distinct.select("v", "vec_id", "copies").mapInArrow(decode, "filter long, vec_id long, copies long, v binary, filters binary, nth int"), "passed-filters")
     sizes = passed.groupBy("filter").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").withColumn("blocks", F.ceil(F.col("m") / group_rows).cast("int"))
     cut = passed.join(sizes, "filter").withColumn("side", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
     # A row goes to each pair of blocks that has its own.
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(F.col("side"), o).alias("lower"), F.greatest(F.col("side"), o).alias("upper")))
-    cut = cut.withColumn("pair", F.explode(pairs)).select("filter", "pair.lower", "pair.upper", "side", "vec_id", "copies", "v", "filters")
+    cut = cut.withColumn("pair", F.explode(pairs)).select("filter", "pair.lower", "pair.upper", "side", "vec_id", "copies", "v", F.substring("filters", F.lit(1), F.col("nth") * 4).alias("earlier"))
     out_schema = pa.schema([("vec_id", pa.int64()), ("links", pa.int64()), ("other", pa.int64())])
 
     def count(key: tuple, rows: pa.Table) -> pa.Table:
-        return _count_links(rows, width, kind, threshold, key[0].as_py(), out_schema)
+        return _count_links(rows, width, kind, threshold, out_schema)
 
-    # Partitions of bounded size, whatever the session's number: a row has some 400 bytes.
-    cut = cut.repartition(max(1, passed.count() // 30_000), "filter", "lower", "upper")
+    # Partitions of bounded size, whatever the session's number: a row has some 600 bytes.
+    cut = cut.repartition(max(1, passed.count() // 20_000), "filter", "lower", "upper")
     partial = written(cut.groupBy("filter", "lower", "upper").applyInArrow(count, "vec_id long, links long, other long"), "partial-links")
     links = partial.groupBy("vec_id").agg(F.sum("links").alias("links"))
     roots = components(partial.filter("vec_id != other").select(F.col("vec_id").alias("a"), F.col("other").alias("b")))

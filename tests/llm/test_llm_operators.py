@@ -140,6 +140,32 @@ def test_cap_filters_by_brute_force(spark):
     assert cap_dedup.near_vectors(vectors(spark, [])).count() == 0
 
 
+def test_cap_filters_at_the_threshold_in_a_large_table(spark):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(12)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    x = unit(rng.normal(size=(48_000, 64)))
+    y = rng.normal(size=(3000, 64))
+    y = unit(y - (x[:3000] * y).sum(1, keepdims=True) * x[:3000])
+    c = rng.uniform(0.9001, 0.92, (3000, 1))
+    both = np.concatenate([x, c * x[:3000] + np.sqrt(1 - c**2) * y]).astype(np.float32)
+    df = spark.createDataFrame(pa.table({"vec_id": np.arange(len(both)), "embedding": pa.FixedSizeListArray.from_arrays(both.ravel(), 64).cast(pa.list_(pa.float32()))}))
+    root = {r.vec_id: r.component_id for r in cap_dedup.near_vectors(df).filter("vec_id < 3000 or vec_id >= 48000").select("vec_id", "component_id").collect()}
+    assert sum(root[i] != root[48_000 + i] for i in range(3000)) <= 3
+
+
+@pytest.mark.parametrize("size", [23, 227, 1024])
+def test_codes_follow_the_size(size):
+    rng = np.random.default_rng(13)
+    x, y = rng.normal(size=(2, 5000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y -= (x * y).sum(1, keepdims=True) * x
+    y = 0.9 * x + np.sqrt(0.19) * y / np.linalg.norm(y, axis=1, keepdims=True)
+    code = cap_dedup.RotatedCodes(64, size, 20, 12, 0.9, 0.001)
+    assert sum(not np.intersect1d(a, b).size for a, b in zip(code.decode(x), code.decode(y), strict=True)) <= 5
+
+
 # 4
 
 
