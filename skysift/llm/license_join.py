@@ -1,7 +1,9 @@
 """License scans: fixed phrases, and an exact set-similarity join with templates (native).
 
-A text block (a line) meets a template when the block's words hold at least
-`threshold` of the template's different words. The join is exact:
+A text block meets a template when the block's words hold at least `threshold`
+of the template's different words. Blocks are lines, and, wherever lines break,
+runs of words of the text: of as many words as the template has, and as many
+more as may be missing (its length divided by `threshold`). The join is exact:
 
 * words are ordered by their count in the whole corpus, rarest first; only
   words of some template can be shared, so only those are counted and kept;
@@ -11,11 +13,14 @@ A text block (a line) meets a template when the block's words hold at least
 * position: where a shared word has i words of the template and j of the block
   before it, no more than min(i, j) + min(n - i, m - j) words can be shared.
 
+Runs are looked for around each word of a prefix: the filters hold for all words
+that a run with it can reach, and the best run among these is then counted.
+
 What passes is verified by counting. The templates are a parameter, so their
 words (some hundreds) are the only side that is broadcast.
 
 Edge cases: null and empty texts have no words, no labels and score 0. A line
-of any length is one block. Rows that repeat an id get the labels of their own
+of any length is one block, too. Rows that repeat an id get the labels of their own
 text.
 """
 
@@ -90,19 +95,38 @@ def template_join(docs: DataFrame, templates=TEMPLATES, threshold: float = 0.8)
     prefixes = [(k, ranks[i], i) for k, ranks in enumerate(ordered) for i in range(len(ranks) - least[k] + 1)]
     heads = "|".join(sorted({by_rank[r] for _, r, _ in prefixes}))
     holds_head = rf"(?<!{_WORD[:-1]})(?:{heads})(?!{_WORD[:-1]})"
-    lines = docs.filter(F.col("lowered").rlike(holds_head)).select("id", "text_hash", F.explode(F.split("lowered", "\n")).alias("line")).filter(F.col("line").rlike(holds_head))
-    # Equal lines of a document are one block.
     known = F.create_map(*[x for w, r in rank.items() for x in (F.lit(w), F.lit(r))])
-    kept = F.array_distinct(F.filter(F.split("line", _SEP + "+"), lambda w: w.isin(vocabulary)))
-    blocks = lines.select("id", "text_hash", F.array_sort(F.transform(kept, lambda w: F.element_at(known, w))).alias("ranks")).filter(F.size("ranks") >= min(least.values())).distinct()
+    words = F.filter(F.transform(words_of(F.col("lowered")), lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda x: x["w"].isin(vocabulary))
+    placed = F.transform(words, lambda x: F.struct(x["i"].alias("i"), F.element_at(known, x["w"]).alias("rank")))
+    of_line = lambda line: F.transform(F.array_distinct(F.filter(F.split(line, _SEP + "+"), lambda w: w.isin(vocabulary))), lambda w: F.element_at(known, w))
+    # Equal lines of a document are one block.
+    of_lines = F.array_distinct(F.transform(F.filter(F.split("lowered", "\n"), lambda line: line.rlike(holds_head)), lambda line: F.array_sort(of_line(line))))
+    # One line has no run that it does not hold itself.
+    held = docs.filter(F.col("lowered").rlike(holds_head)).select("id", "text_hash", of_lines.alias("lines"), F.when(F.col("lowered").contains("\n"), placed).alias("placed"))
+    held = written(held, "license-words")
+    blocks = held.select("id", "text_hash", F.explode("lines").alias("ranks")).filter(F.size("ranks") >= min(least.values()))
     spark = docs.sparkSession
-    heads_table = spark.createDataFrame([(k, r, i, least[k], len(ordered[k]), ordered[k], sets[k][0]) for k, r, i in prefixes], "template int, rank int, i int, least int, n int, wanted array<int>, label string")
+    reach = [math.ceil(len(_python_words(text)) / threshold - 1e-9) for _, text in templates]
+    heads_table = spark.createDataFrame([(k, r, i, least[k], len(ordered[k]), ordered[k], sets[k][0], reach[k]) for k, r, i in prefixes], "template int, rank int, i int, least int, n int, wanted array<int>, label string, reach int")
     met = blocks.select("id", "text_hash", "ranks", F.posexplode("ranks").alias("j", "rank")).join(F.broadcast(heads_table), "rank")
     m = F.size("ranks")
     bound = F.least("i", "j") + F.least(F.col("n") - F.col("i"), m - F.col("j"))
-    met = met.filter((m >= F.col("least")) & (bound >= F.col("least")))
+    passes = (m >= F.col("least")) & (bound >= F.col("least"))
+    met = met.filter(passes)
     shared = F.size(F.array_intersect("ranks", "wanted"))
-    return met.select("id", "text_hash", "label", shared.alias("shared"), "least", (shared / F.col("n")).alias("containment")).filter(F.col("shared") >= F.col("least")).select("id", "text_hash", "label", "containment")
+    found = [F.col(c) for c in ("id", "text_hash", "label")]
+    in_lines = met.select(*found, shared.alias("shared"), "least", (shared / F.col("n")).alias("containment"))
+    # The words that any run with this word can hold: as many before and after it as the longest run has.
+    far = max(reach)
+    around = F.slice("placed", F.greatest(F.col("at") - far + 2, F.lit(1)), F.lit(2 * far - 1))
+    runs = held.select("id", "text_hash", "placed", F.posexplode("placed").alias("at", "word")).filter(F.col("word.rank").isin(sorted({r for _, r, _ in prefixes})))
+    runs = runs.select("id", "text_hash", F.col("word.rank").alias("rank"), F.col("word.i").alias("place"), around.alias("around")).join(F.broadcast(heads_table), "rank")
+    runs = runs.withColumn("around", F.filter("around", lambda x: F.abs(x["i"] - F.col("place")) < F.col("reach")))
+    runs = runs.withColumn("ranks", F.array_sort(F.array_distinct(F.transform("around", lambda x: x["rank"])))).withColumn("j", F.array_position("ranks", F.col("rank")).cast("int") - 1).filter(passes)
+    run = lambda x: F.filter("around", lambda y: (y["i"] >= x["i"]) & (y["i"] < x["i"] + F.col("reach")))
+    best = F.array_max(F.transform("around", lambda x: F.size(F.array_intersect(F.transform(run(x), lambda y: y["rank"]), F.col("wanted")))))
+    in_runs = runs.select(*found, best.alias("shared"), "least", (best / F.col("n")).alias("containment"))
+    return in_lines.unionByName(in_runs).filter(F.col("shared") >= F.col("least")).select(*found, "containment")
 
 
 def scan_licenses(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", phrases=None, templates=TEMPLATES, threshold: float = 0.8) -> DataFrame:

@@ -330,6 +330,45 @@ def test_licenses_edge_cases(spark):
     assert license_join.scan_licenses(docs_of(spark, texts).limit(0)).count() == 0
 
 
+def best_run(text, template, threshold=0.8):
+    """The largest share of a template's words in a line or in a run of its length divided by the threshold."""
+    words = lambda t: license_join._python_words(t)
+    wanted, all_words, n = set(words(template)), words(text), math.ceil(len(words(template)) / threshold - 1e-9)
+    blocks = [words(line) for line in text.split("\n")] + [all_words[i : i + n] for i in range(max(1, len(all_words)))]
+    return max(len(wanted & set(b)) / len(wanted) for b in blocks)
+
+
+def test_wrapped_notices_by_brute_force(spark):
+    import textwrap
+
+    rng = np.random.default_rng(8)
+    vocabulary = sorted({w for _, t in license_join.TEMPLATES for w in license_join._python_words(t)})
+    texts = []
+    for _, t in license_join.TEMPLATES:
+        for width in (12, 24, 40):
+            texts.append("lead in words\n" + "\n".join(f" * {line}" for line in textwrap.wrap(t, width)) + "\nand what follows")
+        spread = t.split()
+        texts.append("\n".join(" filler of the text " * 4 + w for w in spread))  # too far apart
+    texts += ["\n".join(" ".join(rng.choice(vocabulary, 9)) for _ in range(40)) for _ in range(30)]
+    for _, t in license_join.TEMPLATES:  # a word lost, a word changed, words added
+        for _ in range(6):
+            w = t.split()
+            w[rng.integers(len(w))] = "changed"
+            w.insert(rng.integers(len(w)), "added added")
+            if rng.random() < 0.5:
+                w.pop(rng.integers(len(w)))
+            texts.append("before\n" + "\n".join(textwrap.wrap(" ".join(w), 30)))
+    got = {r.doc_id: r for r in license_join.scan_licenses(docs_of(spark, texts)).collect()}
+    for i, text in enumerate(texts):
+        shares = [(label, best_run(text, t)) for label, t in license_join.TEMPLATES]
+        met = {label for label, share in shares if share >= 0.8 - 1e-9}
+        base = {label for label in got[i].base_labels.split(",") if label}
+        assert set(filter(None, got[i].labels.split(","))) == met | base, text
+        assert got[i].score == pytest.approx(1.0 if base else max([share for _, share in shares if share >= 0.8 - 1e-9], default=0.0)), text
+    for k, (label, _) in enumerate(license_join.TEMPLATES):
+        assert all(label in got[4 * k + w].labels.split(",") for w in range(3))
+
+
 # 9
 
 
