@@ -76,11 +76,12 @@ def suppress(df: DataFrame, keys: Sequence[str] = ("raster_id", "label"), *, thr
     return ranked.groupBy(*keys).applyInPandas(kernel, ranked.schema).drop("__score")
 
 
-def suppress_by_rounds(df: DataFrame, keys: Sequence[str] = ("raster_id", "label"), *, threshold: float = 0.45, least: float = 0.25, penalise: bool = True, id_col: str = "det_id", max_rounds: int = 100) -> DataFrame:
+def suppress_by_rounds(df: DataFrame, keys: Sequence[str] = ("raster_id", "label"), *, threshold: float = 0.45, least: float = 0.25, penalise: bool = True, id_col: str = "det_id") -> DataFrame:
     """The same result by joins alone, for groups too large for one task.
 
     A box whose better neighbours are all decided is decided: kept if none of
-    them is kept. Each round decides at least the best of every open cluster.
+    them is kept. Each round decides at least the best of every open cluster, and
+    rounds go on until no box is open: a chain takes as many as it has links.
     """
     from skysift.operators.spatial import overlapping_pairs
     from skysift.plans.tables import written
@@ -92,12 +93,16 @@ def suppress_by_rounds(df: DataFrame, keys: Sequence[str] = ("raster_id", "label
     better = (F.col("l_s") > F.col("r_s")) | ((F.col("l_s") == F.col("r_s")) & (F.col("l_id") < F.col("r_id")))
     edges = written(pairs.filter(better).select(F.col("l_id").alias("up"), F.col("r_id").alias("down")), "nms-edges")
     state = ranked.select(F.col(id_col).alias("id"), F.lit(None).cast("boolean").alias("kept"))
-    for k in range(max_rounds):
+    left, k = -1, 0
+    while True:
         above = edges.join(state.withColumnRenamed("id", "up"), "up").groupBy(F.col("down").alias("id")).agg(F.max(F.coalesce("kept", F.lit(False))).alias("beaten"), F.max(F.col("kept").isNull()).alias("open"))
         new = F.when(F.col("kept").isNotNull(), F.col("kept")).when(F.col("beaten"), F.lit(False)).when(F.coalesce("open", F.lit(False)), F.lit(None)).otherwise(F.lit(True))
         state = written(state.join(above, "id", "left").select("id", new.alias("kept")), f"nms-state-{k}")
-        if not state.filter("kept is null").head(1):
+        before, left, k = left, state.filter("kept is null").count(), k + 1
+        if not left:
             break
+        if left == before:  # only where an id stands for several overlapping boxes
+            raise ValueError(f"{left} boxes cannot be decided: {id_col} is not unique")
     return ranked.join(state.filter("kept").select(F.col("id").alias(id_col)), id_col, "left_semi").drop("__score").select(*df.columns)
 
 

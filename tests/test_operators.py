@@ -42,6 +42,17 @@ def test_suppression_is_idempotent_and_leaves_no_overlap(spark):
         assert suppression.pair_iou(b[i], b[k]) <= 0.45
 
 
+def test_rounds_decide_long_chains(spark):
+    rows = [("a", 20.0 + 3 * i, 20.0, 30.0 + 3 * i, 30.0, 0.99 - 0.001 * i) for i in range(210)]  # each box overlaps the next one only
+    assert ids(suppression.suppress_by_rounds(det(spark, rows), penalise=False)) == list(range(0, 210, 2))
+
+
+def test_rounds_refuse_repeated_ids(spark):
+    rows = [(0, 0, "a", 20.0, 20.0, 30.0, 30.0, 0.9), (0, 0, "a", 21.0, 20.0, 31.0, 30.0, 0.8)]
+    with pytest.raises(ValueError):
+        suppression.suppress_by_rounds(spark.createDataFrame(rows, DET), penalise=False)
+
+
 def test_soft_suppression_by_brute_force(spark):
     rng = np.random.default_rng(2)
     rows = [("a", x, y, x + 30, y + 30, s) for x, y, s in zip(rng.uniform(20, 120, 60).tolist(), rng.uniform(20, 120, 60).tolist(), rng.uniform(0.3, 1, 60).tolist(), strict=True)]
