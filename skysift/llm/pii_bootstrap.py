@@ -6,7 +6,8 @@ pattern is scored by the share of the identifier-like strings it surrounds
 that are (likely) of a kind, an identifier by its best pattern, over a few
 rounds on the graph of patterns and instances. Identifiers that stand in a
 pattern of high confidence, met with enough different seeds, become spans of
-the kind too. All of it is SQL functions, joins and aggregates; the graph holds
+the kind too, and seeds of the next generation, which may trust more patterns;
+it ends when a generation adds no seed. All of it is SQL functions, joins and aggregates; the graph holds
 distinct (pattern, instance) edges, so a very common context is one short row
 for each different instance and never a group in one task.
 
@@ -39,6 +40,12 @@ PATTERNS = {
 }
 #: An identifier-like string: a run of letters, digits and inner hyphens with a digit in it.
 IDENTIFIER = r"(?<![\p{L}\p{N}])(?=[\p{L}-]*+[0-9])[\p{L}\p{N}][\p{L}\p{N}-]*+"
+#: Such runs in groups: the first one has a digit, the others start with one; brackets, a space, dot, slash or hyphen between them.
+GROUPS = r"(?<![\p{L}\p{N}])\(?+(?=\p{L}*+[0-9])[\p{L}\p{N}]++(?:(?:\)[ ./-]?|[ ./-]\(?)[0-9][\p{L}\p{N}]*+)++"
+#: An address with its sign written out in brackets.
+_AT = r"[(\[{] ?(?i:at) ?[)\]}]"
+HANDLE = rf"(?<![\p{{L}}\p{{N}}._+-])[\p{{L}}\p{{N}}._+-]++ ?{_AT} ?[\p{{L}}\p{{N}}-]++(?:\.[\p{{L}}\p{{N}}-]++)*+"
+_SOME = rf"[0-9@]|{_AT}"
 SPAN = "struct<kind:int,start:int,end:int>"
 _FOUND = "array<struct<start:int,text:string>>"
 
@@ -110,35 +117,50 @@ def _context(text: Column, span: Column) -> Column:
     return F.struct(level(before).alias("before"), level(after).alias("after"))
 
 
+def _trusted(edges: DataFrame, generation: int, rounds: int, confidence: float, support: int) -> DataFrame:
+    """The patterns that reach the confidence with enough seeds: pattern, score, kind."""
+    scores = [F.col(f"s{i}") for i in range(len(KINDS))]
+    instances = edges.groupBy("token").agg(*[F.max(f"seed{i}").alias(f"s{i}") for i in range(len(KINDS))])
+    for step in range(rounds):
+        n = F.count(F.lit(1))
+        patterns = edges.join(instances, "token").groupBy("pattern").agg(*[(F.sum(s) / (n + 1)).alias(f"p{i}") for i, s in enumerate(scores)], *[F.sum(f"seed{i}").alias(f"n{i}") for i in range(len(KINDS))])
+        patterns = patterns.select("pattern", *[F.when(F.col(f"n{i}") >= support, F.col(f"p{i}")).otherwise(0.0).alias(f"p{i}") for i in range(len(KINDS))])
+        patterns = written(patterns, f"pii-patterns-{generation}-{step}")
+        if step + 1 < rounds:
+            instances = edges.join(patterns, "pattern").groupBy("token").agg(*[F.max(F.greatest(F.col(f"seed{i}"), F.col(f"p{i}"))).alias(f"s{i}") for i in range(len(KINDS))])
+    best = F.greatest(*[F.col(f"p{i}") for i in range(len(KINDS))])
+    which = reduce(lambda a, i: F.when(F.col(f"p{i}") == best, F.lit(i)).otherwise(a), reversed(range(len(KINDS))), F.lit(0))
+    return patterns.filter(best >= confidence).select("pattern", best.alias("score"), which.alias("kind"))
+
+
 def bootstrap(found: DataFrame, *, rounds: int = 3, confidence: float = 0.8, support: int = 5) -> DataFrame:
     """Spans that context adds: id, text_hash, added array of spans.
 
     `found` has id, text_hash and `seen`: struct(span, token, before, after),
     whose span kind is null where no base kind covers the string. A pattern
     counts with `support` different seeds of a kind or more, and gives its kind
-    to other identifiers where its smoothed score reaches `confidence`.
+    to other identifiers where its smoothed score reaches `confidence`. These
+    are seeds of the next generation.
     """
     seen = found.select("id", "text_hash", F.explode("seen").alias("s")).select("id", "text_hash", "s.*")
     both = F.array(F.concat(F.lit("L "), F.col("before")), F.concat(F.lit("R "), F.col("after")), F.concat(F.lit("B "), F.col("before"), F.lit(" _ "), F.col("after")))
     seen = seen.withColumn("patterns", F.filter(both, lambda p: F.length(F.trim(F.substring(p, F.lit(2), F.length(p)))) > 1))
     kind = F.col("span.kind")
     edges = seen.select(F.explode("patterns").alias("pattern"), "token", kind.alias("kind")).groupBy("pattern", "token").agg(*[F.max((F.coalesce(F.col("kind"), F.lit(-1)) == i).cast("double")).alias(f"seed{i}") for i in range(len(KINDS))])
-    # Only patterns that meet enough different seeds can ever be trusted; the others are left out of the graph.
-    seeds = edges.groupBy("pattern").agg(*[F.sum(f"seed{i}").alias(f"n{i}") for i in range(len(KINDS))])
-    usable = seeds.filter(F.greatest(*[F.col(f"n{i}") for i in range(len(KINDS))]) >= support)
+    # Only patterns that meet enough different strings can ever be trusted; the others are left out of the graph.
+    usable = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= support)
     edges = written(edges.join(usable.select("pattern"), "pattern", "left_semi"), "pii-edges")
-    scores = [F.col(f"s{i}") for i in range(len(KINDS))]
-    instances = edges.groupBy("token").agg(*[F.max(f"seed{i}").alias(f"s{i}") for i in range(len(KINDS))])
-    for step in range(rounds):
-        n = F.count(F.lit(1))
-        patterns = edges.join(instances, "token").groupBy("pattern").agg(*[(F.sum(s) / (n + 1)).alias(f"p{i}") for i, s in enumerate(scores)], *[F.sum(f"seed{i}").alias(f"n{i}") for i in range(len(KINDS))])
-        patterns = patterns.select("pattern", *[F.when(F.col(f"n{i}") >= support, F.col(f"p{i}")).otherwise(0.0).alias(f"p{i}") for i in range(len(KINDS))])
-        patterns = written(patterns, f"pii-patterns-{step}")
-        if step + 1 < rounds:
-            instances = edges.join(patterns, "pattern").groupBy("token").agg(*[F.max(F.greatest(F.col(f"seed{i}"), F.col(f"p{i}"))).alias(f"s{i}") for i in range(len(KINDS))])
-    best = F.greatest(*[F.col(f"p{i}") for i in range(len(KINDS))])
-    which = reduce(lambda a, i: F.when(F.col(f"p{i}") == best, F.lit(i)).otherwise(a), reversed(range(len(KINDS))), F.lit(0))
-    trusted = patterns.filter(best >= confidence).select("pattern", best.alias("score"), which.alias("kind"))
+    no_seed = sum(F.col(f"seed{i}") for i in range(len(KINDS))) == 0
+    generation = 0
+    while True:
+        trusted = _trusted(edges, generation, rounds, confidence, support)
+        met = edges.filter(no_seed).select("pattern", "token").join(trusted, "pattern")
+        gained = written(met.groupBy("token").agg(*[F.max((F.col("kind") == i).cast("double")).alias(f"g{i}") for i in range(len(KINDS))]), f"pii-gained-{generation}")
+        if not gained.head(1):
+            break
+        more = [F.when(no_seed, F.coalesce(f"g{i}", F.lit(0.0))).otherwise(F.col(f"seed{i}")).alias(f"seed{i}") for i in range(len(KINDS))]
+        edges = written(edges.join(gained, "token", "left").select("pattern", "token", *more), f"pii-edges-{generation}")
+        generation += 1
     new = seen.filter(kind.isNull()).select("id", "text_hash", F.col("span.start").alias("start"), F.col("span.end").alias("end"), F.explode("patterns").alias("pattern")).join(trusted, "pattern")
     one = new.groupBy("id", "text_hash", "start", "end").agg(F.max(F.struct(F.col("score"), (-F.col("kind")).alias("kind"))).alias("k"))
     span = F.struct((-F.col("k.kind")).alias("kind"), F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end"))
@@ -152,13 +174,17 @@ def find_pii(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     rows = rows.withColumn("base", F.when(F.col("t").rlike("[0-9@]"), base_spans(F.col("t"))).otherwise(F.array().cast(f"array<{SPAN}>")))
     token = lambda s: F.lower(F.substring(F.col("t"), s["start"] + 1, s["end"] - s["start"]))
     seed = F.transform("base", lambda s: F.struct(s.alias("span"), token(s).alias("token"), _context(F.col("t"), s).alias("c")))
-    other = F.transform(
-        F.filter(_matches(F.col("t"), IDENTIFIER), lambda m: (F.length(m["text"]).between(6, 64)) & (F.length(_digits(m["text"])) >= 4)),
-        lambda m: F.struct(F.lit(None).cast("int").alias("kind"), m["start"].alias("start"), (m["start"] + F.length(m["text"])).alias("end")),
-    )
-    free = F.filter(other, lambda o: ~F.exists("base", lambda b: (b["start"] < o["end"]) & (b["end"] > o["start"])))
+    t = F.col("t")
+    span = lambda m: F.struct(F.lit(None).cast("int").alias("kind"), m["start"].alias("start"), (m["start"] + F.length(m["text"])).alias("end"))
+    digits = lambda pattern: F.transform(F.filter(_matches(t, pattern), lambda m: F.length(m["text"]).between(6, 64) & (F.length(_digits(m["text"])) >= 4)), span)
+    handles = F.when(t.rlike(_AT), F.transform(F.filter(_matches(t, HANDLE), lambda m: F.length(m["text"]).between(6, 64)), span)).otherwise(F.array().cast(f"array<{SPAN}>"))
+    apart = lambda spans, of: F.filter(spans, lambda o: ~F.exists(of, lambda b: (b["start"] < o["end"]) & (b["end"] > o["start"])))
+    # The widest string that no base span cuts: handles, then groups, then single runs.
+    rows = rows.withColumn("wide", F.when(t.rlike(_SOME), apart(handles, "base")))
+    rows = rows.withColumn("wide", F.when(t.rlike(_SOME), F.concat("wide", apart(apart(digits(GROUPS), "base"), "wide"))))
+    free = F.concat("wide", apart(apart(digits(IDENTIFIER), "base"), "wide"))
     other = F.transform(free, lambda s: F.struct(s.alias("span"), token(s).alias("token"), _context(F.col("t"), s).alias("c")))
-    seen = F.when(F.col("t").rlike("[0-9@]"), F.transform(F.concat(seed, other), lambda x: F.struct(x["span"].alias("span"), x["token"].alias("token"), x["c"]["before"].alias("before"), x["c"]["after"].alias("after"))))
+    seen = F.when(F.col("t").rlike(_SOME), F.transform(F.concat(seed, other), lambda x: F.struct(x["span"].alias("span"), x["token"].alias("token"), x["c"]["before"].alias("before"), x["c"]["after"].alias("after"))))
     found = written(rows.select("id", "text_hash", "base", seen.alias("seen")), "pii-found")
     added = bootstrap(found.filter(F.size("seen") > 0), **params)
     same = F.col("f.id").eqNullSafe(F.col("a.id")) & (F.col("f.text_hash") == F.col("a.text_hash"))

@@ -497,3 +497,22 @@ def test_redaction_of_overlaps(spark):
     docs = docs_of(spark, ["card +4111 1111 1111 1111 x", None, "a 10.1.1.1 b"])
     out = {r.doc_id: r.text for r in pii_bootstrap.redact(docs).collect()}
     assert out[1] is None and out[2] == "a <IP> b" and "1111" not in out[0]
+
+
+def found_texts(spark, texts):
+    return {r.id: [texts[r.id][s.start : s.end] for s in r.spans] for r in pii_bootstrap.find_pii(docs_of(spark, texts)).collect()}
+
+
+def test_discovered_identifiers_are_seeds(spark):
+    texts = [f"write mail a{i}@b.org right away" for i in range(60)] + [f"write mail k{i}-77421 right away" for i in range(12)]
+    texts += [f"under file k{i}-77421 it stands" for i in range(12)] + ["under file z9-88888 it stands", "the other z9-88888 of them"]
+    got = found_texts(spark, texts)
+    assert got[60] == ["k0-77421"] and got[72] == ["k0-77421"]
+    assert got[84] == ["z9-88888"] and got[85] == []
+
+
+def test_candidates_of_several_groups(spark):
+    odd = ["201.555.0123", "0800 123 456", "DE89 3704 0044 0532 0130 00", "john (at) example.com", "(201) 555-0123"]
+    texts = [f"please call +1 201 555 {1000 + i} before noon" for i in range(60)] + [f"please call {o} before noon" for o in odd]
+    got = found_texts(spark, texts)
+    assert [got[60 + i] for i in range(len(odd))] == [[o] for o in odd]
