@@ -10,8 +10,8 @@ the mean of its lines' forward-backward marginals of 'good', weighted by their
 length in bytes (plus one).
 
 Training takes a bounded sample: `sample_docs` labelled documents of each
-label, by hash order, and of each its first `sample_lines` lines. Everything
-else covers all documents and whole texts.
+label, by hash order, with their whole texts. Everything else covers all
+documents.
 
 Edge cases: a null or empty text is one empty line and gets a score like any
 other. A corpus without labelled documents of both labels gets one score for
@@ -220,7 +220,7 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2
 
 
-def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = 1500, sample_lines: int = 400) -> Model:
+def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = 1500) -> Model:
     """Fits on a bounded sample of the labelled documents that are not held out."""
     usable = labels.select(F.col("doc_id").cast("long").alias("id"), F.col("quality").cast("int").alias("y")).filter("id is not null and y in (0, 1)").filter(~held_out(F.col("id")))
     order = [F.xxhash64("id"), F.col("id")]
@@ -233,7 +233,7 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
             if batch.num_rows:
                 x, _, sizes = line_features(*bytes_of(batch.column(1)))
                 bounds = np.concatenate([[0], np.cumsum(sizes)])
-                kept = [x[a : min(b, a + sample_lines)].astype(np.float32).tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+                kept = [x[a:b].astype(np.float32).tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.binary())], names=["y", "x"])
 
     small_batches(docs.sparkSession)

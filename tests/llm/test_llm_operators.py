@@ -69,6 +69,16 @@ def test_classifier_edge_cases(spark):
     assert crf_quality.with_score(docs.limit(0), crf_quality.train(docs, labels)).count() == 0
 
 
+def test_training_sees_whole_texts(spark, monkeypatch):
+    fit, seen = crf_quality.fit, []
+    monkeypatch.setattr(crf_quality, "fit", lambda x, sizes, y, prior: seen.append((sizes, y)) or fit(x, sizes, y, prior))
+    docs = docs_of(spark, ["\n".join(["a plain line"] * (450 if i % 2 else 820)) for i in range(40)])
+    crf_quality.train(docs, spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int"))
+    sizes, y = seen[0]
+    assert set(sizes[y == 1]) == {450} and set(sizes[y == 0]) == {820}
+
+
+
 # 2 and 3
 
 
