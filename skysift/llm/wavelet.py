@@ -275,6 +275,7 @@ def write_files(encoded: DataFrame, *, levels: int = 16, shard_tokens: int = 1_0
 
     Columns: place and shard (together the order of the files), n_tokens,
     content. A file takes documents until it holds `shard_tokens` ids.
+    It has `levels` planes, or as many more as its largest id needs.
     """
     encoded = written(encoded, "token-ids")
     total = encoded.agg(F.sum(F.length("ids"))).first()[0] or 0
@@ -285,7 +286,8 @@ def write_files(encoded: DataFrame, *, levels: int = 16, shard_tokens: int = 1_0
 
         def file() -> pa.RecordBatch:
             values = np.concatenate(chunks) if chunks else np.zeros(0, np.uint32)
-            content = pack(np.array(docs, np.int64), np.array(starts, np.int64), values, levels)
+            planes = max(levels, int(values.max(initial=0)).bit_length())
+            content = pack(np.array(docs, np.int64), np.array(starts, np.int64), values, planes)
             first = docs[0]
             return pa.RecordBatch.from_arrays([pa.array([first], pa.int64()), pa.array([shard], pa.int64()), pa.array([n], pa.int64()), pa.array([content], pa.binary())], names=["first_doc", "shard", "n_tokens", "content"])
 

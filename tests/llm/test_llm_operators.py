@@ -249,6 +249,13 @@ def test_files_hold_the_ids_of_the_library(spark):
     assert wavelet.read_files(wavelet.write_files(wavelet.encode_ids(docs_of(spark, texts).limit(0), path))).count() == 0
 
 
+def test_files_hold_large_ids(spark):
+    ids = np.array([3, 65_535, 65_536, 200_001, 4_000_000_000], "<u4")
+    encoded = spark.createDataFrame([(0, bytearray(ids.tobytes()), 4)], "doc_id long, ids binary, width int")
+    (row,) = wavelet.read_files(wavelet.write_files(encoded)).collect()
+    assert (row.n_tokens, row.ids_crc32) == (5, zlib.crc32(ids.tobytes()))
+
+
 # 6
 
 
