@@ -1,17 +1,23 @@
-"""Shared helpers: input tables, written intermediate tables, array batches."""
+"""Shared helpers: input tables, written intermediate tables, array batches, free column names."""
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
+#: Bytes of text and rows that an array function handles at once.
+SLICE_BYTES, SLICE_ROWS = 2 << 20, 2000
+_folders: set[str] = set()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,16 +25,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share (spark.checkpoint.dir).
+    """A folder of this application in the one that the driver and all executors share (spark.checkpoint.dir).
 
-    Only where the session names none (single-machine tests) is a local
-    temporary folder used.
+    Where the session names none, a local temporary folder is used on a single
+    machine (as in tests), and it is an error on a cluster. The folder is
+    removed when the driver's Python ends.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="skysift-")
         spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    own = f"{folder.rstrip('/')}/skysift-{spark.sparkContext.applicationId}"
+    if own not in _folders:
+        _folders.add(own)
+        atexit.register(_remove, spark, own)
+    return own
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    context = spark.sparkContext
+    if context._jsc is not None:
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -48,10 +69,26 @@ def ascii_lower(col: Column) -> Column:
     return F.translate(col, UPPER, LOWER)
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Bounds the rows of an Arrow batch, so that long texts do not add up."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def fresh(name: str, taken: Iterable[str]) -> str:
+    """`name`, with as many underscores as keep it apart from the `taken` ones, in any case of letters."""
+    used = {t.lower() for t in taken}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
+def slices(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of bounded rows and bytes in column `text`; a longer text is a part of its own."""
+    n = batch.num_rows
+    if not n:
+        return
+    ends = np.cumsum(np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(text)), 0), np.int64))
+    a = 0
+    while a < n:
+        before = int(ends[a - 1]) if a else 0
+        z = min(n, a + SLICE_ROWS, max(a + 1, int(np.searchsorted(ends, before + SLICE_BYTES, side="right"))))
+        yield batch.slice(a, z - a)
+        a = z
 
 
 def bytes_of(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:

@@ -42,13 +42,12 @@ def op3_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix_sources(table(spark, sf_dir, "documents"), target_entropy=0.9)
+    mixed = mixing.mix_sources(table(spark, sf_dir, "documents"), target_entropy=0.9999, max_repetition=4.0)
     return mixed.select("doc_id", "source", F.col("__tokens").alias("n_tokens"), F.col("__weight").alias("weight"), F.col("__copies").alias("copies"))
 
 
 def op5_wavelet_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = wavelet.encode_ids(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
-    return wavelet.read_files(wavelet.write_files(encoded))
+    return wavelet.read_files(wavelet.write_files(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json")))
 
 
 def op6_suffix_array_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,7 +70,7 @@ def op10_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii_bootstrap.find_pii(table(spark, sf_dir, "documents"))
     count = lambda i: F.size(F.filter("base", lambda s: s["kind"] == i)).cast("long")
     of_kind = [count(i).alias(f"n_{kind}") for i, kind in enumerate(pii_bootstrap.KINDS)]
-    return found.select(F.col("id").alias("doc_id"), *of_kind, F.sha2(pii_bootstrap.span_text(F.col("base")), 256).alias("base_sha256"), pii_bootstrap.span_text(F.col("spans")).alias("spans"))
+    return found.select(F.col("id").alias("doc_id"), *of_kind, F.sha2(pii_bootstrap.span_text(F.col("base")), 256).alias("base_sha256"), pii_bootstrap.span_text(F.col("spans")).alias("spans"), F.size("spans").cast("long").alias("n_spans"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -1,9 +1,10 @@
 """SentencePiece encoding and decoding by suffix-array matching.
 
 The text of a batch is cut where a space mark follows another character, which
-no piece spans (checked when the model is read). The different words of a batch
-that are not known yet are concatenated and indexed by a suffix array, sorted
-to the length of the longest piece. Every piece is searched in it by bisection,
+no piece spans (checked when the model is read). Of a batch's text the different
+words that this worker has not encoded before are concatenated and indexed by a
+suffix array, sorted to the length of the longest piece; words encoded before,
+`most` at the most, are looked up. Every piece is searched in it by bisection,
 all pieces at once, which gives the ranges of its occurrences: the edges
 (position, length, piece). Sorted by position, they are relaxed:
 
@@ -17,7 +18,10 @@ without them. Words of up to `LONG` characters are relaxed together as one
 matrix; a longer one of a BPE model by a heap.
 
 Edge cases: null and empty texts have no ids. Runs of spaces, line breaks and
-the space mark itself are kept as the model's normaliser gives them.
+the space mark itself are kept as the model's normaliser gives them. Rows that
+repeat an id, or have none, each give their own row. Texts go to Python in
+parts of bounded bytes, a very long one by itself. Only the id, the text and the
+columns asked for are read, so others cannot clash.
 """
 
 from __future__ import annotations
@@ -32,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skysift.llm.common import small_batches
+from skysift.llm.common import slices
 
 MARK = "▁"
 LONG = 64
@@ -332,14 +336,13 @@ def encode_pieces(docs: DataFrame, model_path: str, *, id_col: str = "doc_id", t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _pieces(model_path)
-        for batch in batches:
-            packed = model.encode([t or "" for t in batch.column(1).to_pylist()])
+        for part in (p for batch in batches for p in slices(batch, 1)):
+            packed = model.encode([t or "" for t in part.column(1).to_pylist()])
             counts = np.array([len(x) // model.width.itemsize for x in packed], np.int32)
             flat = np.frombuffer(b"".join(packed), model.width).astype(np.int32)
             lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists, *batch.columns[2:]], names=["doc_id", "ids", *also])
+            yield pa.RecordBatch.from_arrays([part.column(0), lists, *part.columns[2:]], names=["doc_id", "ids", *also])
 
-    small_batches(docs.sparkSession, 1000)
     schema = T.StructType([slim.schema["doc_id"], T.StructField("ids", T.ArrayType(T.IntegerType())), *[slim.schema[c] for c in also]])
     return slim.mapInArrow(run, schema)
 
@@ -363,13 +366,12 @@ def round_trip(docs: DataFrame, model_path: str, *, id_col: str = "doc_id", text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _pieces(model_path)
-        for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
+        for part in (p for batch in batches for p in slices(batch, 1)):
+            texts = [t or "" for t in part.column(1).to_pylist()]
             ids = [np.frombuffer(x, model.width).astype("<u4") for x in model.encode(texts)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array([zlib.crc32(x.tobytes()) for x in ids], pa.int64()), pa.array([model.decode(x) == t for x, t in zip(ids, texts, strict=True)])],
+                [part.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array([zlib.crc32(x.tobytes()) for x in ids], pa.int64()), pa.array([model.decode(x) == t for x, t in zip(ids, texts, strict=True)])],
                 names=["doc_id", "n_pieces", "ids_crc32", "same"],
             )
 
-    small_batches(docs.sparkSession, 1000)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, n_pieces long, ids_crc32 long, same boolean")
