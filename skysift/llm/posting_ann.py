@@ -5,41 +5,49 @@ which a best-first search finds the centroids near a vector. Every vector goes
 to the list of its nearest centroid and, where it lies near a boundary, to some
 more: those within `boundary` times the least squared distance, `copies` lists
 at the most. A list longer than `list_rows` is split into sublists by hash, so
-lists are balanced whatever the data. A query reads the lists whose squared
-distance is within `ratio` times that of the nearest, `least_probes` at least
-and `probes` at the most.
+lists are balanced whatever the data. There is a list for each `rows_per_list`
+vectors, as far as the sample can fit them (an eighth of `sample_rows`); many
+centroids are fitted in two levels.
+
+A query reads the lists whose squared distance is within a ratio of that of the
+nearest. The ratio is tuned: some rows of the sample, as queries, have their
+nearest of the sample in lists at known ratios, and the one that reaches the
+share `recall` of these is taken. The sample serves these two fits alone; every
+answer comes from a list.
 
 The measure is the largest inner product. It is searched as Euclidean distance
 in one more dimension: vectors, scaled by the largest norm, are lifted to the
 unit sphere, and queries get a zero there; distances then order as products do.
 
-A bound for each query spares traffic: its k-th best product within the sample
-can only be beaten by a true answer, so worse ones are not sent on. Its k best
-of the sample are found rows themselves, so every query gets k where there are.
-
 Of equal vectors only the least `k` + 1 ids can be among the `k` nearest of any
 query, since ties go to the smaller id; longer groups of equal vectors are cut
 to these before they are indexed, without an effect on the result.
 
 Queries and vectors meet in groups of a sublist and a block of queries, both
-bounded, so no group grows with the data.
+bounded, so no group grows with the data. Each partition keeps the k best of a
+query before anything is sent on.
 
 Edge cases: vectors that are null, zero, or hold null or non-finite numbers,
-or of another length than most, take no part. Fewer candidates than k: all.
-Rows that repeat an id are rows of their own, and a query skips all of its id.
+and rows without id, take no part. Vectors of different lengths have no
+product: each length is searched by itself. Fewer candidates than k: all. Rows
+that repeat id and vector are one row. Rows that repeat an id with another
+vector are rows of their own: each may be an answer, each is a query with k
+answers of its own under that id, and leaves out itself alone. Ties go to the
+smaller id. Only the id and the vector are read, so other columns cannot clash.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skysift.llm.common import small_batches, written
-from skysift.llm.vectors import matrix, number_kind, packed_vectors, usual_width
+from skysift.llm.common import written
+from skysift.llm.vectors import matrix, number_kind, packed_vectors, widths
 
 
 class CentroidGraph:
@@ -50,13 +58,16 @@ class CentroidGraph:
         self.norm = (centroids**2).sum(1)
         n = len(centroids)
         near = min(near, n - 1)
-        d = self.norm[None, :] - 2 * centroids @ centroids.T
-        np.fill_diagonal(d, np.inf)
-        links = np.argpartition(d, near - 1, axis=1)[:, :near] if near else np.zeros((n, 0), np.int64)
+        links = np.zeros((n, near), np.int64)
+        for a in range(0, n, 1024):
+            d = self.norm[None, :] - 2 * centroids[a : a + 1024] @ centroids.T
+            d[np.arange(len(d)), np.arange(a, a + len(d))] = np.inf
+            some = np.argpartition(d, near - 1, axis=1)[:, :near] if near else np.zeros((len(d), 0), np.int64)
+            links[a : a + 1024] = np.take_along_axis(some, np.argsort(np.take_along_axis(d, some, 1), axis=1), 1)
         own = np.arange(n)
         to = [[*a, *b] for a, b in zip(links.tolist(), np.random.default_rng(seed).integers(0, n, (n, far)).tolist(), strict=True)]
         # Links back, or a centroid that lies apart is no one's neighbour and never found.
-        for i, row in enumerate(np.argsort(d, axis=1)[:, : min(4, n - 1)].tolist()):
+        for i, row in enumerate(links[:, :4].tolist()):
             for k in row:
                 to[k].append(i)
         width = max(map(len, to))
@@ -95,8 +106,16 @@ class CentroidGraph:
 
 
 def balanced_centroids(x: np.ndarray, k: int, *, rounds: int = 8, seed: int = 7) -> np.ndarray:
-    """k-means in which large clusters repel: a cluster's size, relative to the mean, is added to its distances."""
+    """k-means in which large clusters repel: a cluster's size, relative to the mean, is added to its distances.
+
+    More than 1,024 are fitted in two levels: some clusters, and in each its share.
+    """
     rng = np.random.default_rng(seed)
+    if k > 1024:
+        coarse = balanced_centroids(x, int(np.sqrt(k)), rounds=rounds, seed=seed)
+        own = ((coarse**2).sum(1)[None, :] - 2 * x @ coarse.T).argmin(1)
+        parts = [x[own == i] for i in range(len(coarse))]
+        return np.concatenate([balanced_centroids(p, max(1, round(k * len(p) / len(x))), rounds=rounds, seed=seed) for p in parts if len(p)])
     c = x[rng.choice(len(x), k, replace=False)].copy()
     weight, spread = np.ones(k), x.var(0).sum()
     for _ in range(rounds):
@@ -110,106 +129,137 @@ def balanced_centroids(x: np.ndarray, k: int, *, rounds: int = 8, seed: int = 7)
     return c
 
 
-def nearest(df: DataFrame, *, k: int = 20, query_every: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", sample_rows: int = 8192, lists: int | None = None, copies: int = 4, boundary: float = 1.15, probes: int = 96, least_probes: int = 8, ratio: float = 1.6, list_rows: int = 2000, query_rows: int = 2000) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k nearest found of every row whose id divides by `query_every`, against all rows."""
-    spark, kind = df.sparkSession, number_kind(df, vector_col)
-    packed = packed_vectors(df, id_col=id_col, vector_col=vector_col).filter("v is not null and vec_id is not null")
-    packed = written(packed, "vectors")
-    width = usual_width(packed)
-    packed = packed.filter(F.length("v") == width)
-    equal = Window.partitionBy("v").orderBy("vec_id")
-    # Equal vectors: row_number up to a limit is cut before the exchange too.
-    index = packed.withColumn("__n", F.row_number().over(equal)).filter(F.col("__n") <= k + 1).select("vec_id", "v")
-    index = written(index, "indexed-vectors")
-    queries = packed.filter(F.col("vec_id") % query_every == 0)
-    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    n = index.count()
-    if not n:
-        return empty
+def _norms(x: np.ndarray) -> np.ndarray:
+    return np.sqrt((x**2).sum(1))
 
-    sample = index.orderBy(F.xxhash64("v", "vec_id"), "vec_id").limit(sample_rows).toPandas()  # the bounded sample
-    sample_x, sample_ids = matrix(pa.array(sample["v"]), width, kind), sample["vec_id"].to_numpy()
-    norm_of = lambda b: np.sqrt((b**2).sum(1))
 
-    def norms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield pa.RecordBatch.from_arrays([pa.array([float(norm_of(matrix(batch.column(0), width, kind)).max())])], names=["m"])
+class Index:
+    """Centroids, their graph, the way vectors and queries are placed, and the tuned ratio."""
 
-    most = index.select("v").mapInArrow(norms, "m double").agg(F.max("m")).first()[0]
+    def __init__(self, sample: np.ndarray, n: int, most: float, *, k: int, lists: int, copies: int, boundary: float, recall: float, ratio: float | None, tune_queries: int = 256):
+        self.most, self.copies, self.boundary = most, copies, boundary
+        lifted = self.lift(sample)
+        self.graph = CentroidGraph(balanced_centroids(lifted, min(lists, len(sample))))
+        self.ratio, self.probes = ratio or 1.0, len(self.graph.c)
+        if ratio is None and len(sample) > 1:
+            self._tune(sample, max(1, round(k * len(sample) / n)), recall, tune_queries)
 
-    def lift(x: np.ndarray) -> np.ndarray:
-        x = x / most
+    def lift(self, x: np.ndarray) -> np.ndarray:
+        x = x / self.most
         return np.hstack([x, np.sqrt(np.maximum(0, 1 - (x**2).sum(1)))[:, None]])
 
-    def as_query(x: np.ndarray) -> np.ndarray:
-        return np.hstack([x / norm_of(x)[:, None], np.zeros((len(x), 1))])
+    def homes(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, list) of every list that a vector goes to."""
+        ids, dist = self.graph.search(self.lift(x), self.copies, 24)
+        row, col = np.nonzero((ids >= 0) & (dist <= np.maximum(dist[:, :1], 1e-12) * self.boundary))
+        return row, ids[row, col]
 
-    n_lists = min(len(sample_x), lists or int(min(1024, max(1, round(2 * np.sqrt(n) / 8) * 4))))
-    graph = CentroidGraph(balanced_centroids(lift(sample_x), n_lists))
+    def _as_query(self, x: np.ndarray) -> np.ndarray:
+        return np.hstack([x / _norms(x)[:, None], np.zeros((len(x), 1))])
 
-    def to_lists(ids: np.ndarray, dist: np.ndarray, bound: float, least: int = 1) -> tuple[np.ndarray, np.ndarray]:
-        return np.nonzero((ids >= 0) & ((dist <= np.maximum(dist[:, :1], 1e-12) * bound) | (np.arange(ids.shape[1]) < least)))
+    def lists_of(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, list) of the lists that a query reads."""
+        ids, dist = self.graph.search(self._as_query(x), self.probes, self.probes + 16)
+        row, col = np.nonzero((ids >= 0) & (dist <= np.maximum(dist[:, :1], 1e-12) * self.ratio))
+        return row, ids[row, col]
 
-    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a in range(0, batch.num_rows, 512):
-                part = batch.slice(a, 512)
-                ids, dist = graph.search(lift(matrix(part.column(1), width, kind)), copies, 24)
-                row, col = to_lists(ids, dist, boundary)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[row, col], pa.int64()), part.column(0).take(pa.array(row)), part.column(1).take(pa.array(row))], names=["list", "vec_id", "v"])
+    def _tune(self, sample: np.ndarray, near: int, recall: float, queries: int) -> None:
+        """The least ratio at which lists hold the share `recall` of the nearest rows within the sample."""
+        asked = sample[:queries]
+        lifted = self._as_query(asked)
+        dist = np.maximum((lifted**2).sum(1)[:, None] + self.graph.norm[None, :] - 2 * lifted @ self.graph.c.T, 0)
+        dist /= np.maximum(dist.min(1, keepdims=True), 1e-12)
+        products = asked @ sample.T
+        products[np.arange(len(asked)), np.arange(len(asked))] = -np.inf
+        near = min(near, len(sample) - 1)
+        wanted = np.argpartition(products, -near, axis=1)[:, -near:]
+        some, which = np.unique(wanted, return_inverse=True)
+        row, home = self.homes(sample[some])
+        ratio = np.full(wanted.size, np.inf)
+        asker = np.repeat(np.arange(len(asked)), near)
+        order = np.argsort(which.ravel(), kind="stable")
+        first = np.searchsorted(which.ravel()[order], np.arange(len(some) + 1))
+        for r, h in zip(row, home, strict=True):
+            at = order[first[r] : first[r + 1]]
+            ratio[at] = np.minimum(ratio[at], dist[asker[at], h])
+        self.ratio = float(np.quantile(ratio, recall, method="higher")) * (1 + 1e-9)
+        self.probes = min(len(self.graph.c), int(1.5 * (dist <= self.ratio).sum(1).max()) + 1)
+
+
+def nearest(df: DataFrame, *, k: int = 20, query_every: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", **params) -> DataFrame:
+    """(query_id, rank, vec_id, score): the k nearest found of every row whose id divides by `query_every`, against all rows.
 
-    asked_names = ["list", "query_id", "q", "bound", "vec_id", "score"]
+    Other parameters are those of `search`.
+    """
+    kind = number_kind(df, vector_col)
+    packed = packed_vectors(df, id_col=id_col, vector_col=vector_col).filter("v is not null and vec_id is not null")
+    packed = written(packed.dropDuplicates(["vec_id", "v"]).withColumn("h", F.xxhash64("v")), "vectors")
+    found = [search(packed.filter(F.length("v") == w), w, kind, k=k, query_every=query_every, **params) for w in widths(packed)]
+    return reduce(DataFrame.unionByName, found) if found else df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+
+
+def search(packed: DataFrame, width: int, kind: str, *, k: int, query_every: int, sample_rows: int = 131_072, rows_per_list: int = 256, lists: int | None = None, copies: int = 4, boundary: float = 1.15, recall: float = 0.97, ratio: float | None = None, list_rows: int = 2000, query_rows: int = 2000) -> DataFrame:
+    """The answers among vectors of one length: `packed` has vec_id, v and its hash h, each row once.
+
+    `lists` and `ratio` are set from the data where they are not given.
+    """
+    # Equal vectors: row_number up to a limit is cut before the exchange too.
+    equal = Window.partitionBy("v").orderBy("vec_id")
+    index = written(packed.withColumn("n", F.row_number().over(equal)).filter(F.col("n") <= k + 1).select("vec_id", "v", "h"), "indexed-vectors")
+    queries = packed.filter(F.col("vec_id") % query_every == 0)
 
-    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def norms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a in range(0, batch.num_rows, 512):
-                part = batch.slice(a, 512)
-                x = matrix(part.column(1), width, kind)
-                ids, dist = graph.search(as_query(x), probes, probes + 16)
-                products = x @ sample_x.T
-                products[part.column(0).to_numpy()[:, None] == sample_ids[None, :]] = -np.inf
-                bound = np.partition(products, -k, axis=1)[:, -k] if products.shape[1] >= k else np.full(len(x), -np.inf)
-                bound = np.where(np.isfinite(bound), bound - 1e-9 * (1 + np.abs(bound)), -np.inf)
-                row, col = to_lists(ids, dist, ratio, least_probes)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[row, col], pa.int64()), part.column(0).take(pa.array(row)), part.column(1).take(pa.array(row)), pa.array(bound[row]), pa.nulls(len(row), pa.int64()), pa.nulls(len(row), pa.float64())], names=asked_names
-                )
-                hit, at = np.nonzero((products >= bound[:, None]) & (products > -np.inf))
-                exact = np.einsum("nd,nd->n", x[hit], sample_x[at])
-                yield pa.RecordBatch.from_arrays([pa.nulls(len(hit), pa.int64()), part.column(0).take(pa.array(hit)), pa.nulls(len(hit), pa.binary()), pa.nulls(len(hit), pa.float64()), pa.array(sample_ids[at]), pa.array(exact)], names=asked_names)
-
-    small_batches(spark, 5000)
-    postings = written(index.mapInArrow(assign, "list long, vec_id long, v binary"), "postings")
-    probed = written(queries.mapInArrow(probe, "list long, query_id long, q binary, bound double, vec_id long, score double"), "probes")
-    asked = probed.filter("list is not null").select("list", "query_id", "q", "bound")
-    # One row a list (1,024 at the most): into how many sublists and query blocks it is cut.
-    cuts = postings.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / list_rows).cast("int").alias("subs"))
-    blocks = asked.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / query_rows).cast("int").alias("blocks"))
-    plan = F.broadcast(written(cuts.join(blocks, "list"), "list-cuts"))
-    left = postings.join(plan, "list").withColumn("sub", F.pmod(F.xxhash64("v", "vec_id"), F.col("subs"))).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1))).select("list", "sub", "block", "vec_id", "v")
-    right = asked.join(plan, "list").withColumn("block", F.pmod(F.xxhash64("query_id"), F.col("blocks"))).withColumn("sub", F.explode(F.sequence(F.lit(0).cast("long"), F.col("subs").cast("long") - 1))).select("list", "sub", "block", "query_id", "q", "bound")
-    out_schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([pa.array([float(_norms(matrix(batch.column(0), width, kind)).max())]), pa.array([batch.num_rows], pa.int64())], names=["m", "n"])
+
+    most, n = index.select("v").mapInArrow(norms, "m double, n long").agg(F.max("m"), F.sum("n")).first()
+    lists = lists or max(1, round(np.sqrt(n)), n // rows_per_list)
+    lists = min(lists, max(1, sample_rows // 8))
+    taken = min(sample_rows, max(8192, 8 * lists))
+    sample = index.orderBy(F.xxhash64("h", "vec_id"), "vec_id").limit(taken).select("v").toArrow()  # the bounded sample
+    placed = Index(matrix(sample.column("v"), width, kind), n, most, k=k, lists=lists, copies=copies, boundary=boundary, recall=recall, ratio=ratio)
+
+    def place(of) -> object:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for a in range(0, batch.num_rows, 512):
+                    part = batch.slice(a, 512)
+                    row, to = of(matrix(part.column(1), width, kind))
+                    take = pa.array(row)
+                    yield pa.RecordBatch.from_arrays([pa.array(to, pa.int64()), *(c.take(take) for c in part.columns)], names=["list", "id", "v", "h"])
+
+        return run
+
+    schema = "list long, id long, v binary, h long"
+    postings = written(index.mapInArrow(place(placed.homes), schema), "postings")
+    asked = written(queries.select("vec_id", "v", "h").mapInArrow(place(placed.lists_of), schema), "probes")
+    # One row a list: into how many sublists and query blocks it is cut.
+    cuts = postings.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / list_rows).alias("subs"))
+    blocks = asked.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / query_rows).alias("blocks"))
+    plan = written(cuts.join(blocks, "list"), "list-cuts")
+    each = lambda count: F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
+    left = postings.join(plan, "list").withColumn("sub", F.pmod(F.xxhash64("h", "id"), F.col("subs"))).withColumn("block", each("blocks")).select("list", "sub", "block", "id", "v", "h")
+    right = asked.join(plan, "list").withColumn("block", F.pmod(F.xxhash64("h", "id"), F.col("blocks"))).withColumn("sub", each("subs")).select("list", "sub", "block", "id", "v", "h")
+    out_schema = pa.schema([("query_id", pa.int64()), ("query_h", pa.int64()), ("vec_id", pa.int64()), ("h", pa.int64()), ("score", pa.float64())])
 
     def meet(vectors: pa.Table, asks: pa.Table) -> pa.Table:
         if not vectors.num_rows or not asks.num_rows:
             return out_schema.empty_table()
-        x, ids = matrix(vectors.column("v").combine_chunks(), width, kind), vectors.column("vec_id").to_numpy()
-        q, q_ids, bound = matrix(asks.column("q").combine_chunks(), width, kind), asks.column("query_id").to_numpy(), asks.column("bound").to_numpy()
+        x, q = matrix(vectors.column("v"), width, kind), matrix(asks.column("v"), width, kind)
+        (ids, h), (q_ids, q_h) = ((t.column("id").to_numpy(), t.column("h").to_numpy()) for t in (vectors, asks))
         found = []
         for a in range(0, len(q), 256):
             s = q[a : a + 256] @ x.T
-            s[q_ids[a : a + 256, None] == ids[None, :]] = -np.inf
-            least = bound[a : a + 256]
-            if s.shape[1] > k:  # ties with the k-th stay
-                least = np.maximum(least, np.partition(s, -k, axis=1)[:, -k])
-            row, col = np.nonzero((s >= least[:, None]) & (s > -np.inf))
-            found.append((q_ids[a + row], ids[col], np.einsum("nd,nd->n", q[a + row], x[col])))
+            s[(q_ids[a : a + 256, None] == ids[None, :]) & (q_h[a : a + 256, None] == h[None, :])] = -np.inf
+            least = np.partition(s, -k, axis=1)[:, -k] if s.shape[1] > k else np.full(len(s), -np.inf)
+            row, col = np.nonzero((s >= (least - 1e-9 * np.abs(least).clip(0, 1e300))[:, None]) & (s > -np.inf))  # ties with the k-th stay
+            # Summed row by row, so that a pair has the same score in every list.
+            found.append((q_ids[a + row], q_h[a + row], ids[col], h[col], (q[a + row] * x[col]).sum(1)))
         return pa.table([np.concatenate(c) for c in zip(*found, strict=True)], schema=out_schema)
 
-    met = left.groupBy("list", "sub", "block").cogroup(right.groupBy("list", "sub", "block")).applyInArrow(meet, "query_id long, vec_id long, score double")
-    # A vector may come from several lists, with the same score each time.
-    met = met.unionByName(probed.filter("list is null").select("query_id", "vec_id", "score"))
-    once = met.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return once.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    met = left.groupBy("list", "sub", "block").cogroup(right.groupBy("list", "sub", "block")).applyInArrow(meet, "query_id long, query_h long, vec_id long, h long, score double")
+    # A vector may come from several lists, each time with the same rank.
+    best = Window.partitionBy("query_id", "query_h").orderBy(F.desc("score"), "vec_id", "h")
+    ranked = met.withColumn("rank", F.dense_rank().over(best)).filter(F.col("rank") <= k)
+    return ranked.dropDuplicates(["query_id", "query_h", "vec_id", "h"]).select("query_id", "rank", "vec_id", "score")
