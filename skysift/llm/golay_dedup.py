@@ -29,6 +29,11 @@ the work stays in proportion to the rows where pairs would be their square.
 
 Edge cases: null and empty texts, and texts without words, have fingerprint
 zero and link like any other. Fewer than four words: one shingle of them all.
+Rows that repeat an id each have the fingerprint of their own text. Rows
+without id link like others, but name no component: theirs is the smallest id
+reachable, null if there is none. Texts go to Python in parts of bounded bytes,
+a very long one by itself. Only the id and the text are read, so other columns
+cannot clash; `keep_first` passes them on.
 """
 
 from __future__ import annotations
@@ -41,8 +46,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skysift.llm.common import bytes_of, small_batches, written
-from skysift.llm.components import components
+from skysift.llm.common import bytes_of, fresh, slices, written
+from skysift.llm.components import components, with_least
 
 SEED, WIDTH = 42, 4
 _GENERATOR, _N, _PARITY = 0b101011100011, 23, 11
@@ -156,18 +161,21 @@ def fingerprints(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
+def _text_hash(text_col: str):
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+
+
 def document_prints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, print): the fingerprint as a signed long."""
+    """(doc_id, text_hash, print): the fingerprint as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a in range(0, batch.num_rows, 256):
-                part = batch.slice(a, 256)
-                prints = fingerprints(*bytes_of(part.column(1)))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(prints.view(np.int64))], names=["doc_id", "print"])
+            for part in slices(batch, 2):
+                prints = fingerprints(*bytes_of(part.column(2)))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(prints.view(np.int64))], names=["doc_id", "text_hash", "print"])
 
-    small_batches(docs.sparkSession)
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, print long")
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), _text_hash(text_col).alias("text_hash"), F.col(text_col).alias("text"))
+    return slim.mapInArrow(run, "doc_id long, text_hash long, print long")
 
 
 def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -333,7 +341,6 @@ def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def link_edges(prints: DataFrame, *, bucket: int = 48) -> DataFrame:
     """Edges (a, b) that connect the distinct `prints` (print long) exactly as all links of 4 bits or fewer do."""
-    spark = prints.sparkSession
     # Few prints a task: each becomes some hundred rows.
     rows = written(prints.mapInArrow(_key_rows(bucket), "key long, print long, hot boolean"), "golay-keys")
     keyed = rows.filter("key is not null").repartition("key").sortWithinPartitions("key", "print")
@@ -343,34 +350,47 @@ def link_edges(prints: DataFrame, *, bucket: int = 48) -> DataFrame:
     edges = found.filter(f"kind = {_EDGE}").select("a", "b")
     if not hot.head(1):
         return edges
-    small_batches(spark, 10_000)
     balls = written(hot.repartition(max(1, -(-hot.count() // 2000))).mapInArrow(_midpoints, "word long, a long, b long"), "golay-midpoints")
     chained = balls.filter("word is not null").select("word", "a").repartition("word").sortWithinPartitions("word", "a").mapInArrow(_chain, "a long, b long")
     return edges.unionByName(balls.filter("word is null").select("a", "b")).unionByName(chained.distinct())
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
-    """One row a document: doc_id, fingerprint (16 hex digits), component_id (least doc_id reachable by links)."""
+def document_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
+    """One row a document: doc_id, text_hash, print, component_id (least doc_id reachable by links)."""
     prints = written(document_prints(docs, id_col=id_col, text_col=text_col), "prints")
     distinct = written(prints.groupBy("print").agg(F.min("doc_id").alias("first_doc")), "distinct-prints")
     roots = written(components(link_edges(distinct.select("print"), **params)), "print-roots")
-    rooted = distinct.join(roots.withColumnRenamed("node", "print"), "print", "left").withColumn("root", F.coalesce("root", "print"))
-    first = rooted.groupBy("root").agg(F.min("first_doc").alias("component_id"))
-    of_print = rooted.join(first, "root").select("print", "component_id")
-    out = prints.join(of_print, "print", "left")
-    return out.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
+    linked = with_least(distinct, roots, "print", "first_doc")
+    of_print = distinct.join(linked, F.col("print") == F.col("node"), "left").select("print", F.coalesce("component_id", "first_doc").alias("component_id"))
+    # Written, so that a print of very many documents is a plain shuffled side, which Spark splits.
+    return prints.join(written(of_print, "print-components"), "print", "left")
+
+
+def near_duplicates(docs: DataFrame, **params) -> DataFrame:
+    """One row a document: doc_id, fingerprint (16 hex digits), component_id (least doc_id reachable by links)."""
+    return document_groups(docs, **params).select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_first(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
     """The documents without those linked, over any number of steps, to one of a smaller id.
 
-    Of rows that repeat an id one stays. Documents without an id cannot be
-    told apart by it and all stay.
+    The few rows that go are taken out by an anti-join, so that texts are not
+    dealt by their ids as long as those fit a broadcast. Of rows that repeat
+    the id of a group's first document the one whose text has the least hash
+    stays, once. Documents without an id cannot be told apart by it and all stay.
     """
-    found = written(near_duplicates(docs, id_col=id_col, text_col=text_col, **params).filter("doc_id = component_id").select(F.col("doc_id").alias("__id")), "kept-ids")
-    rows, ids = found.agg(F.count(F.lit(1)), F.count_distinct("__id")).first()
-    # Always a shuffled join, so that the plan is the same at every size.
-    out = docs.filter(F.col(id_col).isNotNull()).join(found.hint("merge"), F.col(id_col).cast("long") == F.col("__id"), "left_semi")
-    if rows != ids:
-        out = out.dropDuplicates([id_col])
-    return out.unionByName(docs.filter(F.col(id_col).isNull()))
+    groups = written(document_groups(docs, id_col=id_col, text_col=text_col, **params).filter("doc_id is not null").select("doc_id", "text_hash", "component_id"), "groups")
+    rows, ids = groups.agg(F.count(F.lit(1)), F.count_distinct("doc_id")).first()
+    gone = groups.filter("doc_id != component_id").select("doc_id", "text_hash")
+    key, digest = fresh("__id", docs.columns), fresh("__text_hash", docs.columns)
+    by_id = F.col(id_col).cast("long") == F.col(key)
+    if rows == ids:
+        return docs.join(written(gone.select(F.col("doc_id").alias(key)), "dropped-ids"), by_id, "left_anti")
+    kept = groups.filter("doc_id = component_id")
+    stays = written(kept.groupBy("doc_id").agg(F.min("text_hash").alias("stays")), "first-texts")
+    gone = gone.unionByName(kept.join(stays, "doc_id").filter("text_hash != stays").select("doc_id", "text_hash")).distinct()
+    gone = written(gone.select(F.col("doc_id").alias(key), F.col("text_hash").alias(digest)), "dropped-rows")
+    left = docs.join(gone, by_id & (_text_hash(text_col) == F.col(digest)), "left_anti")
+    named = left.filter(F.col(id_col).isNotNull())
+    # What still repeats an id has the same text.
+    return named.dropDuplicates([id_col]).unionByName(left.filter(F.col(id_col).isNull()))
