@@ -14,7 +14,10 @@ label, by hash order, with their whole texts. Everything else covers all
 documents.
 
 Edge cases: a null or empty text is one empty line and gets a score like any
-other. A corpus without labelled documents of both labels gets one score for
+other, and so does a row without id or one that repeats an id; in training, of
+rows that repeat an id the one whose text has the least hash stands for all.
+Texts go to Python in parts of bounded bytes, a very long one by itself. A
+column named like the score is replaced by it. A corpus without labelled documents of both labels gets one score for
 all: the share of label 1, or 1 without labels. Labels other than 0 and 1, or
 without id, are not used; of labels that contradict each other the least counts.
 """
@@ -30,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skysift.llm.common import bytes_of, small_batches
+from skysift.llm.common import bytes_of, fresh, slices
 
 #: Character classes by their ASCII members; other bytes of 128 and more are a class of their own.
 CLASSES = ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", " \t", ".,;:?'\"()-", "!", "|", "#$%&*+/<=>@[\\]^_`{}~")
@@ -216,8 +219,8 @@ def _maximise(z: np.ndarray, sizes: np.ndarray, y: np.ndarray, labels: np.ndarra
 
 
 def held_out(doc_id: Column) -> Column:
-    """Whether a document is held out: the CRC-32 of its id as text leaves 2 modulo 4."""
-    return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2
+    """Whether a document is held out: the CRC-32 of its id as text leaves 2 modulo 4; no id: not."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
 def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = 1500) -> Model:
@@ -230,15 +233,15 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                x, _, sizes = line_features(*bytes_of(batch.column(1)))
+            for part in slices(batch, 1):
+                x, _, sizes = line_features(*bytes_of(part.column(1)))
                 bounds = np.concatenate([[0], np.cumsum(sizes)])
                 kept = [x[a:b].astype(np.float32).tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.binary())], names=["y", "x"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(kept, pa.binary()), part.column(2)], names=["y", "x", "id"])
 
-    small_batches(docs.sparkSession)
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id").select("y", "text")
-    rows = texts.mapInArrow(run, "y int, x binary").limit(4 * sample_docs).collect()
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
+    once = texts.groupBy("id").agg(F.min_by(F.struct("y", "text"), F.xxhash64("text")).alias("r")).select("r.y", "r.text", "id")
+    rows = sorted(once.mapInArrow(run, "y int, x binary, id long").collect(), key=lambda r: r.id)  # 2 * sample_docs at the most
     y = np.array([r.y for r in rows], np.int64)
     if not len(y) or y.min() == y.max():
         return Model(np.zeros(0), np.zeros(0), np.zeros(0), np.zeros((2, 2)), constant=float(y.mean()) if len(y) else 1.0)
@@ -248,15 +251,21 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
 
 
 def with_score(docs: DataFrame, model: Model, *, text_col: str = "text", score_col: str = "__score") -> DataFrame:
-    """`docs` with a score from 0 to 1 in `score_col`."""
-    at = docs.columns.index(text_col)
+    """`docs` with a score from 0 to 1 in `score_col`, which replaces a column of that name."""
+    own = [c for c in docs.columns if c.lower() != score_col.lower() or c == text_col]
+    text = own.index(text_col)
+    name = fresh(score_col, own)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a in range(0, batch.num_rows, 256):
-                part = batch.slice(a, 256)
-                scores = model.scores(*bytes_of(part.column(at)))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores)], names=[*part.schema.names, score_col])
+            for part in slices(batch, text):
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(model.scores(*bytes_of(part.column(text))))], names=[*part.schema.names, name])
 
-    small_batches(docs.sparkSession)
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(score_col, T.DoubleType())]))
+    slim = docs.select(*own)
+    return slim.mapInArrow(run, T.StructType([*slim.schema.fields, T.StructField(name, T.DoubleType())]))
+
+
+def keep_good(docs: DataFrame, model: Model, least: float, *, text_col: str = "text") -> DataFrame:
+    """The documents of that score or more, as they are."""
+    score = fresh("__score", docs.columns)
+    return with_score(docs, model, text_col=text_col, score_col=score).filter(F.col(score) >= least).select(*docs.columns)
