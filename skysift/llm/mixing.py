@@ -11,12 +11,19 @@ The weights become token budgets. A source is cut into blocks of about
 `block_tokens` tokens by hash. Whole epochs take every block; the last, partial
 epoch takes blocks in the order of a random permutation until the budget ends
 within one block, and of that block the documents in hash order, never above
-the budget. So the only ordered groups are the blocks of a source and the
-documents of one block, and a hot source is many blocks.
+the budget. The permutation is the order of a hash, so its end is one place for
+each source, found by sums over 1,024 ranges of the hash and then within one
+range; a document compares its own place with it. So nothing but a row for each
+source meets the documents, and no ordered group holds a source's blocks.
+
+Lengths are counts of words, or those of the column `tokens_col`, such as an
+encoder gives.
 
 Edge cases: a null source is a source. Null and empty texts have no tokens:
-they are kept once, and cost nothing. Rows that repeat each count; equal rows
-share a hash and are taken or left together, as long as they fit.
+they are kept once, and cost nothing. Rows that repeat, or have no id, each
+count; equal rows share a hash and are taken or left together, as long as they
+fit. Input columns may have any names: those named like a column that is added
+are replaced by it, and `mixed_documents` returns all of them unchanged.
 """
 
 from __future__ import annotations
@@ -80,15 +87,15 @@ def _shares(sources: DataFrame) -> DataFrame:
     return sources.filter("tokens > 0").select((F.col("tokens") / F.lit(float(max(total, 1)))).alias("p"))
 
 
-def plan_mix(docs: DataFrame, *, target_entropy: float | None = None, max_repetition: float | None = None, budget_tokens: int | None = None, block_tokens: int = 200_000, seed: int = 7) -> tuple[DataFrame, DataFrame]:
-    """(sources, blocks) for `docs` with __source, __tokens and __hash.
+def plan_mix(docs: DataFrame, *, target_entropy: float | None = None, max_repetition: float | None = None, budget_tokens: int | None = None, block_tokens: int = 200_000, seed: int = 7) -> DataFrame:
+    """One row a source for `docs` (source, tokens, hash), as `copies_of` needs it.
 
-    sources: __source, tokens, weight, budget. blocks: __source, __block,
-    __blocks, copies, and __last, the largest hash of the block that gets one
-    copy more (null: none). Without `budget_tokens` the budget is the corpus
+    Columns: source, weight, budget, blocks, epochs, and where the partial epoch
+    ends: the place `cut` (range, perm, block; its documents up to the hash
+    `last`, null: none). Without `budget_tokens` the budget is the corpus
     itself, or with `max_repetition` what passes every source once or more.
     """
-    counted = docs.groupBy("__source").agg(F.sum("__tokens").alias("tokens"), F.count(F.lit(1)).alias("docs"))
+    counted = docs.groupBy("source").agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("docs"))
     sources = written(counted, "mix-sources")
     exponent = 1.0
     if target_entropy is not None:
@@ -103,45 +110,59 @@ def plan_mix(docs: DataFrame, *, target_entropy: float | None = None, max_repeti
     # Rounding must not turn an exact pass into one that lacks a token.
     share = F.floor(weight * F.lit(float(budget)) + 1e-6 * F.col("tokens")).cast("long")
     blocks_of = F.greatest(F.ceil(F.greatest(F.col("tokens"), F.col("docs")) / F.lit(float(block_tokens))), F.lit(1)).cast("long")
-    sources = written(sources.select("__source", "tokens", weight.alias("weight"), share.alias("budget"), blocks_of.alias("__blocks")), "mix-plan")
-
-    cut = with_block(docs, sources)
-    sizes = cut.groupBy("__source", "__block").agg(F.sum("__tokens").alias("n"), F.first("tokens").alias("tokens"), F.first("budget").alias("budget"), F.first("__blocks").alias("__blocks"))
     epochs = F.when(F.col("tokens") > 0, F.floor(F.col("budget") / F.col("tokens"))).otherwise(1).cast("long")
-    left = F.when(F.col("tokens") > 0, F.col("budget") - F.col("epochs") * F.col("tokens")).otherwise(0)
-    order = Window.partitionBy("__source").orderBy(F.xxhash64(F.lit(seed), F.col("__source"), F.col("epochs"), F.col("__block")), "__block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    sizes = sizes.withColumn("epochs", epochs).withColumn("left", left).withColumn("upto", F.sum("n").over(order))
-    whole = F.col("upto") <= F.col("left")
-    room = F.col("left") - (F.col("upto") - F.col("n"))
-    blocks = written(sizes.select("__source", "__block", "__blocks", "epochs", whole.alias("whole"), F.when(~whole & (room > 0), room).otherwise(0).alias("room")), "mix-blocks")
-    # Only one block of a source has room left; its documents are taken in hash order up to that room.
-    part = cut.select("__source", "__block", "__hash", "__tokens").join(blocks.filter("room > 0").select("__source", "__block", "room"), ["__source", "__block"])
-    within = Window.partitionBy("__source", "__block").orderBy("__hash").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    last = part.withColumn("used", F.sum("__tokens").over(within)).filter("used <= room").groupBy("__source", "__block").agg(F.max("__hash").alias("__last"))
-    blocks = blocks.join(last, ["__source", "__block"], "left").select("__source", "__block", (F.col("epochs") + F.col("whole").cast("long")).alias("copies"), "__last")
-    return sources, written(blocks, "mix-copies")
-
-
-def with_block(docs: DataFrame, sources: DataFrame) -> DataFrame:
-    joined = docs.join(sources, "__source")
-    return joined.withColumn("__block", F.pmod(F.xxhash64(F.lit("block"), "__hash"), F.col("__blocks")))
-
-
-def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 7, **targets) -> DataFrame:
-    """`docs` with __tokens, __weight and __copies: how often the mix takes the document (0: not)."""
+    sources = sources.select("source", "tokens", weight.alias("weight"), share.alias("budget"), blocks_of.alias("blocks")).withColumn("epochs", epochs)
+    sources = written(sources.withColumn("left", F.col("budget") - F.col("epochs") * F.col("tokens")), "mix-plan")
+
+    placed = docs.join(sources.filter("tokens > 0").select("source", "blocks", "epochs", "left"), "source").withColumn("place", place_of(seed))
+    blocks = written(placed.groupBy("source", "place").agg(F.sum("tokens").alias("n"), F.first("left").alias("left")).withColumn("range", F.col("place.range")), "mix-blocks")
+    ranges = blocks.groupBy("source", "range").agg(F.sum("n").alias("n"), F.first("left").alias("left"))
+    upto = lambda order: F.sum("n").over(Window.partitionBy("source").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    # The first range, and in it the first block, that passes what is left.
+    ranges = ranges.withColumn("upto", upto("range")).filter("upto > left").groupBy("source").agg(F.min_by(F.struct("range", (F.col("upto") - F.col("n")).alias("before")), "range").alias("r"))
+    inner = blocks.join(ranges.select("source", "r.*"), ["source", "range"]).withColumn("upto", F.col("before") + upto("place")).filter("upto > left")
+    cut = written(inner.groupBy("source").agg(F.min_by(F.struct("place", (F.col("left") - F.col("upto") + F.col("n")).alias("room")), "place").alias("c")).select("source", F.col("c.place").alias("cut"), "c.room"), "mix-cuts")
+    # Of that block the documents are taken in hash order up to the room.
+    part = placed.join(cut, "source").filter("place = cut").withColumnRenamed("tokens", "n")
+    within = Window.partitionBy("source").orderBy("hash").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    last = part.withColumn("used", F.sum("n").over(within)).filter("used <= room").groupBy("source").agg(F.max("hash").alias("last"))
+    return written(sources.join(cut.select("source", "cut"), "source", "left").join(last, "source", "left").select("source", "weight", "budget", "blocks", "epochs", "cut", "last"), "mix-copies")
+
+
+def place_of(seed: int) -> Column:
+    """A document's place in the permutation of its source's blocks (needs source, hash, blocks and epochs)."""
+    block = F.pmod(F.xxhash64(F.lit("block"), "hash"), F.col("blocks"))
+    perm = F.xxhash64(F.lit(seed), F.col("source"), F.col("epochs"), block)
+    return F.struct(F.shiftrightunsigned(perm, 54).alias("range"), perm.alias("perm"), block.alias("block"))
+
+
+def copies_of(seed: int) -> Column:
+    """How often the mix takes a document (needs tokens and hash and the plan's columns)."""
+    place = place_of(seed)
+    extra = F.coalesce((place < F.col("cut")) | ((place == F.col("cut")) & (F.col("hash") <= F.col("last"))), F.lit(False))
+    return F.when(F.col("tokens") == 0, 1).otherwise(F.col("epochs") + extra.cast("long")).cast("long")
+
+
+def _mixed(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", tokens_col: str | None = None, seed: int = 7, **targets) -> DataFrame:
+    """(row, tokens, weight, copies): the documents as structs, so that no name of theirs can clash."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     key = F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit("null"))
-    marked = docs.withColumns({"__source": key, "__tokens": count_tokens(F.col(text_col)), "__hash": F.xxhash64(F.lit(seed), F.col(id_col).cast("string"), text)})
-    # The plan reads the counts three times; the texts are counted once.
-    slim = written(marked.select("__source", "__tokens", "__hash"), "mix-docs")
-    sources, blocks = plan_mix(slim, seed=seed, **targets)
-    out = with_block(marked, sources.select("__source", "weight", "__blocks")).join(blocks, ["__source", "__block"])
-    extra = F.coalesce((F.col("__hash") <= F.col("__last")), F.lit(False)).cast("long")
-    copies = F.when(F.col("__tokens") == 0, 1).otherwise(F.col("copies") + extra).cast("long")
-    return out.withColumn("__copies", copies).select(*docs.columns, "__tokens", F.col("weight").alias("__weight"), "__copies")
-
-
-def repeated(mixed: DataFrame) -> DataFrame:
-    """One row for each copy, with the columns of the documents."""
-    plain = [c for c in mixed.columns if c not in ("__tokens", "__weight", "__copies")]
-    return mixed.filter("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select(*plain)
+    tokens = count_tokens(F.col(text_col)) if tokens_col is None else F.coalesce(F.col(tokens_col), F.lit(0)).cast("long")
+    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("source"), tokens.alias("tokens"), F.xxhash64(F.lit(seed), F.col(id_col).cast("string"), text).alias("hash"))
+    # The plan reads the counts several times; the texts are counted once.
+    slim = written(marked.select("source", "tokens", "hash"), "mix-docs")
+    plan = plan_mix(slim, seed=seed, **targets)
+    return marked.join(plan, "source").select("row", "tokens", "weight", copies_of(seed).alias("copies"))
+
+
+def mix_sources(docs: DataFrame, **params) -> DataFrame:
+    """`docs` with __tokens, __weight and __copies: how often the mix takes the document (0: not)."""
+    added = {"__tokens": "tokens", "__weight": "weight", "__copies": "copies"}
+    own = [F.col("row").getField(c).alias(c) for c in docs.columns if c.lower() not in added]
+    return _mixed(docs, **params).select(*own, *[F.col(c).alias(name) for name, c in added.items()])
+
+
+def mixed_documents(docs: DataFrame, **params) -> DataFrame:
+    """The documents with their own columns, each as often as the mix takes it."""
+    taken = _mixed(docs, **params).filter("copies > 0")
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")).select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
