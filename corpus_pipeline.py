@@ -4,6 +4,14 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written
 as Parquet and read again as the next stage's docs. All but the last return
 the columns of documents.
 
+Edge cases: null texts count as empty in every stage and stay null up to the
+last, which gives them no ids. Rows that repeat an id are rows of their own,
+but of one group (and so of one text) one row stays; rows without id are never
+dropped as copies. A null source is a source. Ties go to the smaller id, or the
+smaller hash of the text. Columns beyond those of documents, whatever their
+names, are passed on by all stages but the last. Very long texts are handled
+one at a time. An empty table gives an empty table.
+
 SQL cannot express the classifier, the fingerprints or the pieces, so
 ORACLE_SQL is None; the tests hold the stages against brute force.
 """
@@ -28,7 +36,7 @@ MOST_REPETITION = 1.25
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the line classifier rejects."""
     model = crf_quality.train(docs, table(spark, sf_dir, "labels"))
-    return crf_quality.with_score(docs, model).filter(F.col("__score") >= LEAST_QUALITY).select(*docs.columns)
+    return crf_quality.keep_good(docs, model, LEAST_QUALITY)
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +51,7 @@ def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats documents of small sources towards equal weights; every document stays."""
-    return mixing.repeated(mixing.mix_sources(docs, max_repetition=MOST_REPETITION)).select(*docs.columns)
+    return mixing.mixed_documents(docs, max_repetition=MOST_REPETITION)
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
