@@ -109,7 +109,7 @@ class ProductCode:
 class Filters:
     """Product codes in random rotations, and sketches: at most `miss` of the pairs at cosine `threshold` share no filter or lie too far apart in their sketches."""
 
-    def __init__(self, dims: int, size: int, passes: int, threshold: float, miss: float, bits: int = 128, seed: int = 7):
+    def __init__(self, dims: int, size: int, passes: int, threshold: float, miss: float, bits: int = 256, seed: int = 7):
         rng = np.random.default_rng([seed, 1])
         self.codes: list[tuple[np.ndarray, ProductCode]] = []
         self.plane = rng.standard_normal((dims, bits))
@@ -218,7 +218,7 @@ def near_vectors(df: DataFrame, *, threshold: float = 0.9, id_col: str = "vec_id
     return joined.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))
 
 
-def linked(distinct: DataFrame, n: int, width: int, kind: str, threshold: float, *, passes: int = 2, filter_rows: int = 256, group_rows: int = 1024, miss: float = 0.001) -> DataFrame:
+def linked(distinct: DataFrame, n: int, width: int, kind: str, threshold: float, *, passes: int = 2, filter_rows: int = 256, group_rows: int = 512, miss: float = 0.001) -> DataFrame:
     """(v, n_links, component_id) of `distinct`: n different vectors v of one length, each with node, least vec_id and number of copies."""
     dims = width // np.dtype(kind).itemsize
     filters = Filters(dims, int(max(4, np.ceil(np.sqrt(n * passes / filter_rows)))), passes, threshold, miss)
