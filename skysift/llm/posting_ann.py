@@ -24,8 +24,9 @@ query, since ties go to the smaller id; longer groups of equal vectors are cut
 to these before they are indexed, without an effect on the result.
 
 Queries and vectors meet in groups of a sublist and a block of queries, both
-bounded, so no group grows with the data. Each partition keeps the k best of a
-query before anything is sent on.
+bounded, so no group grows with the data. A query first reads its `first` nearest
+lists; of the others only rows that reach the k-th best of these are sent on.
+Each partition keeps the k best of a query before anything is sent.
 
 Edge cases: vectors that are null, zero, or hold null or non-finite numbers,
 and rows without id, take no part. Vectors of different lengths have no
@@ -43,7 +44,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skysift.llm.common import written
@@ -198,7 +199,7 @@ def nearest(df: DataFrame, *, k: int = 20, query_every: int = 20, id_col: str =
     return reduce(DataFrame.unionByName, found) if found else df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
 
 
-def search(packed: DataFrame, width: int, kind: str, *, k: int, query_every: int, sample_rows: int = 131_072, rows_per_list: int = 256, lists: int | None = None, copies: int = 4, boundary: float = 1.15, recall: float = 0.97, ratio: float | None = None, list_rows: int = 2000, query_rows: int = 2000) -> DataFrame:
+def search(packed: DataFrame, width: int, kind: str, *, k: int, query_every: int, sample_rows: int = 131_072, rows_per_list: int = 256, lists: int | None = None, copies: int = 4, boundary: float = 1.15, recall: float = 0.9, first: int = 4, ratio: float | None = None, list_rows: int = 2000, query_rows: int = 2000) -> DataFrame:
     """The answers among vectors of one length: `packed` has vec_id, v and its hash h, each row once.
 
     `lists` and `ratio` are set from the data where they are not given.
@@ -231,16 +232,30 @@ def search(packed: DataFrame, width: int, kind: str, *, k: int, query_every: int
 
         return run
 
-    schema = "list long, id long, v binary, h long"
-    postings = written(index.mapInArrow(place(placed.homes), schema), "postings")
-    asked = written(queries.select("vec_id", "v", "h").mapInArrow(place(placed.lists_of), schema), "probes")
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, batch.num_rows, 512):
+                part = batch.slice(a, 512)
+                row, to = placed.lists_of(matrix(part.column(1), width, kind))
+                ends = np.searchsorted(row, np.arange(part.num_rows + 1)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(to, pa.int64()))], names=["id", "v", "h", "lists"])
+
+    postings = written(index.mapInArrow(place(placed.homes), "list long, id long, v binary, h long"), "postings")
+    probes = written(queries.select("vec_id", "v", "h").mapInArrow(ask, "id long, v binary, h long, lists array<bigint>"), "probes")
     # One row a list: into how many sublists and query blocks it is cut.
+    asked = probes.select(F.explode("lists").alias("list"))
     cuts = postings.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / list_rows).alias("subs"))
     blocks = asked.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / query_rows).alias("blocks"))
     plan = written(cuts.join(blocks, "list"), "list-cuts")
     each = lambda count: F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
     left = postings.join(plan, "list").withColumn("sub", F.pmod(F.xxhash64("h", "id"), F.col("subs"))).withColumn("block", each("blocks")).select("list", "sub", "block", "id", "v", "h")
-    right = asked.join(plan, "list").withColumn("block", F.pmod(F.xxhash64("h", "id"), F.col("blocks"))).withColumn("sub", each("subs")).select("list", "sub", "block", "id", "v", "h")
+
+    def met_in(nearest_first: Column, asks: DataFrame) -> DataFrame:
+        """The answers of the lists that `nearest_first` names, for `asks` with a bound: (query_id, query_h, vec_id, h, score)."""
+        right = asks.select(F.explode(nearest_first).alias("list"), "id", "v", "h", "bound").join(plan, "list")
+        right = right.withColumn("block", F.pmod(F.xxhash64("h", "id"), F.col("blocks"))).withColumn("sub", each("subs")).select("list", "sub", "block", "id", "v", "h", "bound")
+        return left.groupBy("list", "sub", "block").cogroup(right.groupBy("list", "sub", "block")).applyInArrow(meet, "query_id long, query_h long, vec_id long, h long, score double")
+
     out_schema = pa.schema([("query_id", pa.int64()), ("query_h", pa.int64()), ("vec_id", pa.int64()), ("h", pa.int64()), ("score", pa.float64())])
 
     def meet(vectors: pa.Table, asks: pa.Table) -> pa.Table:
@@ -248,18 +263,24 @@ def search(packed: DataFrame, width: int, kind: str, *, k: int, query_every: int
             return out_schema.empty_table()
         x, q = matrix(vectors.column("v"), width, kind), matrix(asks.column("v"), width, kind)
         (ids, h), (q_ids, q_h) = ((t.column("id").to_numpy(), t.column("h").to_numpy()) for t in (vectors, asks))
+        bound = asks.column("bound").to_numpy()
         found = []
         for a in range(0, len(q), 256):
             s = q[a : a + 256] @ x.T
             s[(q_ids[a : a + 256, None] == ids[None, :]) & (q_h[a : a + 256, None] == h[None, :])] = -np.inf
-            least = np.partition(s, -k, axis=1)[:, -k] if s.shape[1] > k else np.full(len(s), -np.inf)
+            least = bound[a : a + 256]
+            if s.shape[1] > k:
+                least = np.maximum(least, np.partition(s, -k, axis=1)[:, -k])
             row, col = np.nonzero((s >= (least - 1e-9 * np.abs(least).clip(0, 1e300))[:, None]) & (s > -np.inf))  # ties with the k-th stay
             # Summed row by row, so that a pair has the same score in every list.
             found.append((q_ids[a + row], q_h[a + row], ids[col], h[col], (q[a + row] * x[col]).sum(1)))
         return pa.table([np.concatenate(c) for c in zip(*found, strict=True)], schema=out_schema)
 
-    met = left.groupBy("list", "sub", "block").cogroup(right.groupBy("list", "sub", "block")).applyInArrow(meet, "query_id long, query_h long, vec_id long, h long, score double")
     # A vector may come from several lists, each time with the same rank.
     best = Window.partitionBy("query_id", "query_h").orderBy(F.desc("score"), "vec_id", "h")
-    ranked = met.withColumn("rank", F.dense_rank().over(best)).filter(F.col("rank") <= k)
-    return ranked.dropDuplicates(["query_id", "query_h", "vec_id", "h"]).select("query_id", "rank", "vec_id", "score")
+    top = lambda met: met.withColumn("rank", F.dense_rank().over(best)).filter(F.col("rank") <= k).dropDuplicates(["query_id", "query_h", "vec_id", "h"])
+    near = written(top(met_in(F.slice("lists", 1, first), probes.withColumn("bound", F.lit(float("-inf"))))), "first-answers")
+    bounds = near.groupBy(F.col("query_id").alias("id"), F.col("query_h").alias("h")).agg(F.max(F.when(F.col("rank") == k, F.col("score"))).alias("bound"))
+    bounded = probes.join(written(bounds, "bounds"), ["id", "h"], "left").withColumn("bound", F.coalesce("bound", F.lit(float("-inf"))))
+    far = met_in(F.slice("lists", F.lit(first + 1), F.greatest(F.size("lists"), F.lit(1))), bounded)
+    return top(near.drop("rank").unionByName(far)).select("query_id", "rank", "vec_id", "score")
