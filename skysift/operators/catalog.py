@@ -18,6 +18,10 @@ VENDORS = (
 )
 
 
+#: The tags of a sidecar XML that hold the acquisition time.
+TIME_TAGS = ("FIRST_LINE_TIME", "IMAGERY_DATE", "ACQUISITION_DATE", "firstLineTime")
+
+
 def vendor(filename: Column, path: Column, bands: Column) -> tuple[Column, Column]:
     """(provider, modality) by the vendor words; an unknown one-band file named sar, hh or vv is SAR."""
     name, whole = F.lower(filename), F.lower(path)
@@ -42,7 +46,7 @@ def acquisition_time(filename: Column, sidecar: Column | None = None, xml: Colum
     if sidecar is not None:
         tries += [F.get_json_object(sidecar, p) for p in ("$.collect.start_time", "$.acquisition_time", "$.datetime", "$.startTime")]
     if xml is not None:
-        found = F.regexp_extract(xml, r"<(?:[A-Za-z]+:)?(?:FIRSTLINETIME|TLCTime|acquisitionDate|startTime)>([^<]+)<", 1)
+        found = F.trim(F.regexp_extract(xml, rf"<(?:{'|'.join(TIME_TAGS)})>([^<]*)</", 1))
         tries.append(F.when(found != "", found))
     if tags is not None:
         tries += [F.try_element_at(tags, F.lit(k)) for k in ("TIFFTAG_DATETIME", "AREA_OR_POINT", "acquisition_date")]

@@ -151,20 +151,34 @@ def windows(shape: DataFrame, size: int, stride: int) -> DataFrame:
     return both.withColumns({"win_h": F.least(F.lit(size), F.col("height") - F.col("row_off")), "win_w": F.least(F.lit(size), F.col("width") - F.col("col_off"))})
 
 
-def chips(pixels: DataFrame, size: int, stride: int, *, nodata: float = 0) -> DataFrame:
-    """Windows with a pixel that is not nodata: key, row_idx, col_idx, offsets, number of such pixels."""
-    shape = pixels.groupBy("raster_id").agg((F.max("row") + 1).alias("height"), (F.max("col") + 1).alias("width"))
-    w = windows(shape, size, stride)
-    inside = (F.col("row") >= F.col("row_off")) & (F.col("row") < F.col("row_off") + size) & (F.col("col") >= F.col("col_off")) & (F.col("col") < F.col("col_off") + size)
-    return w.join(pixels.filter(F.col("value") != nodata), "raster_id").filter(inside).groupBy("raster_id", "row_idx", "col_idx", "row_off", "col_off").agg(F.count(F.lit(1)).alias("n_valid"))
+def _windows_at(at: Column, n: Column, size: int, stride: int) -> Column:
+    """The windows (idx, off) along one axis that hold position `at`, from its number alone."""
+    last = F.greatest(n - size, F.lit(0)).cast("long")
+    low = F.greatest(F.ceil((at - size + 1) / stride), F.lit(0)).cast("long")
+    high = F.least(F.floor(at / stride), F.floor(last / stride)).cast("long")
+    none = F.array().cast("array<struct<idx:bigint,off:bigint>>")
+    regular = F.when(low <= high, F.transform(F.sequence(low, F.greatest(low, high)), lambda i: F.struct(i.alias("idx"), (i * stride).alias("off")))).otherwise(none)
+    flush = F.when((last % stride != 0) & (at >= last), F.array(F.struct((F.floor(last / stride) + 1).cast("long").alias("idx"), last.alias("off")))).otherwise(none)
+    return F.concat(regular, flush)
 
 
 def tile_pixels(pixels: DataFrame, size: int, stride: int) -> DataFrame:
-    """Each pixel once for each window that has it: raster_id, row_idx, col_idx, row, col (within the window), value."""
-    shape = pixels.groupBy("raster_id").agg((F.max("row") + 1).alias("height"), (F.max("col") + 1).alias("width"))
-    inside = (F.col("row") >= F.col("row_off")) & (F.col("row") < F.col("row_off") + size) & (F.col("col") >= F.col("col_off")) & (F.col("col") < F.col("col_off") + size)
-    cut = windows(shape, size, stride).join(pixels, "raster_id").filter(inside)
-    return cut.select("raster_id", "row_idx", "col_idx", "row_off", "col_off", (F.col("row") - F.col("row_off")).alias("row"), (F.col("col") - F.col("col_off")).alias("col"), "value")
+    """Each pixel once for each window that has it: raster_id, row_idx, col_idx, offsets, row, col (within the window) and the other columns.
+
+    A pixel's windows follow from its row and column, so no window meets a
+    pixel that it does not hold.
+    """
+    shape = pixels.groupBy("raster_id").agg((F.max("row") + 1).alias("__h"), (F.max("col") + 1).alias("__w"))
+    own = [c for c in pixels.columns if c not in ("raster_id", "row", "col")]
+    cut = pixels.join(shape, "raster_id").withColumn("__r", F.explode(_windows_at(F.col("row"), F.col("__h"), size, stride)))
+    cut = cut.withColumn("__c", F.explode(_windows_at(F.col("col"), F.col("__w"), size, stride)))
+    return cut.select("raster_id", F.col("__r.idx").alias("row_idx"), F.col("__c.idx").alias("col_idx"), F.col("__r.off").alias("row_off"), F.col("__c.off").alias("col_off"), (F.col("row") - F.col("__r.off")).alias("row"), (F.col("col") - F.col("__c.off")).alias("col"), *own)
+
+
+def chips(pixels: DataFrame, size: int, stride: int, *, nodata: float = 0) -> DataFrame:
+    """Windows with a pixel that is not nodata: key, row_idx, col_idx, offsets, number of such pixels."""
+    held = tile_pixels(pixels, size, stride).groupBy("raster_id", "row_idx", "col_idx", "row_off", "col_off")
+    return held.agg(F.count_if(F.col("value") != nodata).alias("n_valid")).filter("n_valid > 0")
 
 
 def mosaic(tiles: DataFrame) -> DataFrame:

@@ -229,13 +229,17 @@ def density_discount(spark, sf):
     return out.select("det_id", "neighbours", F.round("discounted", 6).alias("discounted"))
 
 
-@query(with_views(""", p AS (SELECT col + 0.5::DOUBLE AS x, row + 0.5::DOUBLE AS y, value FROM pixels WHERE raster_id = 0 AND value <> -9999),
-    s AS (SELECT ctx_id, sum(value) AS s, avg(value) AS m, max(value) AS x FROM (SELECT ctx_id, x0 % 64 AS x0, y0 % 64 AS y0, x0 % 64 + (x1 - x0) % 16 AS x1, y0 % 64 + (y1 - y0) % 16 AS y1 FROM ctx_boxes) c JOIN p ON p.x BETWEEN c.x0 AND c.x1 AND p.y BETWEEN c.y0 AND c.y1 GROUP BY ctx_id)
+# All rasters stand side by side, and the zones lie over all of them.
+@query(with_views(""", wide AS (SELECT 64 * (max(raster_id) + 1) AS w FROM pixels), p AS (SELECT raster_id * 64 + col + 0.5::DOUBLE AS x, row + 0.5::DOUBLE AS y, value FROM pixels WHERE value <> -9999),
+    z AS (SELECT ctx_id, (ctx_id * 97) % w AS x0, y0 % 64 AS y0, (ctx_id * 97) % w + (x1 - x0) % 16 AS x1, y0 % 64 + (y1 - y0) % 16 AS y1 FROM ctx_boxes, wide),
+    s AS (SELECT ctx_id, sum(value) AS s, avg(value) AS m, max(value) AS x FROM z c JOIN p ON p.x BETWEEN c.x0 AND c.x1 AND p.y BETWEEN c.y0 AND c.y1 GROUP BY ctx_id)
     SELECT ctx_id, coalesce(round_even(CAST(s AS DOUBLE), 2), 0::DOUBLE) AS zone_sum, coalesce(round_even(m, 2), 0::DOUBLE) AS zone_mean, coalesce(round_even(CAST(s.x AS DOUBLE), 2), 0::DOUBLE) AS zone_max FROM ctx_boxes LEFT JOIN s USING (ctx_id)""", "pixels", "ctx_boxes"))
 def zonal_population(spark, sf):
-    c = fx.ctx_boxes(spark, sf)
-    zones = c.select("ctx_id", (F.col("x0") % 64).alias("xmin"), (F.col("y0") % 64).alias("ymin"), (F.col("x0") % 64 + (F.col("x1") - F.col("x0")) % 16).alias("xmax"), (F.col("y0") % 64 + (F.col("y1") - F.col("y0")) % 16).alias("ymax"))
-    return sp.zonal(zones, fx.pixels(spark, sf).filter("raster_id = 0"), id_col="ctx_id").select("ctx_id", "zone_sum", "zone_mean", "zone_max")
+    c, p = fx.ctx_boxes(spark, sf), fx.pixels(spark, sf)
+    width = p.select(64 * (F.max("raster_id") + 1)).scalar()
+    x, y, size_x, size_y = (F.col("ctx_id") * 97) % width, F.col("y0") % 64, (F.col("x1") - F.col("x0")) % 16, (F.col("y1") - F.col("y0")) % 16
+    zones = c.select("ctx_id", x.cast("double").alias("xmin"), y.alias("ymin"), (x + size_x).alias("xmax"), (y + size_y).alias("ymax"))
+    return sp.zonal(zones, p.withColumn("col", F.col("raster_id") * 64 + F.col("col")), id_col="ctx_id").select("ctx_id", "zone_sum", "zone_mean", "zone_max")
 
 
 @query(with_views(""", c AS (SELECT det_id, raster_id || '/' || label AS g, (xmin + xmax) / 2 AS x, (ymin + ymax) / 2 AS y FROM det),

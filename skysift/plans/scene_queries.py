@@ -308,10 +308,12 @@ def vendor_classify(spark, sf):
     return s.select("scene_id", "filename", provider.alias("provider"), modality.alias("modality"))
 
 
-@query(with_views("SELECT scene_id, CASE WHEN scene_id % 5 = 0 THEN '2023-05-06T07:08:09' ELSE '2024-01-' || lpad(CAST(1 + scene_id % 28 AS VARCHAR), 2, '0') || 'T00:00:00+00:00' END AS ts FROM scenes", "scenes"))
+@query(with_views("SELECT scene_id, CASE WHEN scene_id % 5 = 0 THEN '2023-05-06T07:08:09' WHEN scene_id % 5 = 1 THEN '2022-03-0' || (1 + scene_id % 4) || 'T01:02:03Z' ELSE '2024-01-' || lpad(CAST(1 + scene_id % 28 AS VARCHAR), 2, '0') || 'T00:00:00+00:00' END AS ts FROM scenes", "scenes"))
 def timestamp_extract(spark, sf):
     sidecar = F.when(F.col("scene_id") % 5 == 0, F.lit('{"collect": {"start_time": "2023-05-06T07:08:09"}}'))
-    return fx.scenes(spark, sf).select("scene_id", ca.acquisition_time(F.col("filename"), sidecar).alias("ts"))
+    tag = F.element_at(F.array(*map(F.lit, ca.TIME_TAGS)), (1 + F.col("scene_id") % 4).cast("int"))
+    xml = F.when(F.col("scene_id") % 5 == 1, F.concat(F.lit("<a><b>x</b><"), tag, F.lit("> 2022-03-0"), 1 + F.col("scene_id") % 4, F.lit("T01:02:03Z </"), tag, F.lit("></a>")))
+    return fx.scenes(spark, sf).select("scene_id", ca.acquisition_time(F.col("filename"), sidecar, xml).alias("ts"))
 
 
 @query(with_views(f"""SELECT scene_id, round_even((least(x1, 30) - greatest(x0, -20)) * (least(y1, 45) - greatest(y0, -10)) / (50 * 55) * 100, 2) AS buffer_coverage_pct FROM scenes
