@@ -57,3 +57,24 @@ def test_empty_documents(spark):
     for _, stage in corpus_pipeline.STAGES:
         out = stage(spark, docs, SF)
         assert out.count() == 0
+
+
+def test_stages_with_odd_rows(spark):
+    """Nulls, repeated rows, copies, names that operators use inside, and a very long text."""
+    copy = "one two three four five six seven eight"
+    rows = [(None, copy, None), (5, copy, "a"), (5, copy, "a"), (3, copy, None), (7, None, "b"), (8, "", "b"), (9, "call me@x.yz or 10.0.0.1", "hot"), (10, "long text " * 60_000, "hot")]
+    docs = spark.createDataFrame([(i, t, "en", s, len(t or "")) for i, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.withColumns({c: F.lit(c) for c in ("__score", "__id", "__text_hash", "component_id", "spans", "added", "row", "copies", "weight", "hash", "tokens", "blocks")})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        got = out.collect()
+        if name == "deduplicate":
+            assert sorted((r.doc_id or 0, r.text or "") for r in got) == [(0, copy), (3, copy), (7, ""), (9, rows[6][1]), (10, rows[7][1])]
+        if name == "private":
+            text = {r.doc_id: r for r in got}
+            assert len(got) == len(rows) and text[9].text == "call <EMAIL> or <IP>" and text[9].n_chars == 20 and text[7].text is None
+        if name == "mix":
+            assert {(r.doc_id, r.text) for r in got} == {(i, t) for i, t, _ in rows}
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
+    assert len(pieces) == len(rows) and {r.doc_id: r.n_pieces for r in pieces}[7] == 0
