@@ -96,6 +96,21 @@ def change_polygons(masked: DataFrame, *, least_area: int = 16, x_offset: int =
     return masked.groupBy(*k).applyInPandas(run, out)
 
 
+def change_pipeline(patches: DataFrame, *, threshold: float | None = None, least_area: int = 16) -> tuple[DataFrame, DataFrame]:
+    """(polygons, summary) of all pairs of which both times are there in one size; the others give nothing."""
+    from skysift.operators.tiling import change_summary, comparable_pairs
+
+    pairs = comparable_pairs(patches).select("pair_id")
+    cells = variance_normalised(change_map(spatial_map(patches.join(pairs, "pair_id", "left_semi"))))
+    polygons = change_polygons(change_mask(cells, threshold=threshold), least_area=least_area)
+    return polygons, change_summary(polygons, pairs)
+
+
+def spatial_map(patches: DataFrame, vector: str = "embedding") -> DataFrame:
+    """Patches with each cell's embedding at unit length; a whole-tile embedding is a map of one cell."""
+    return patches.withColumn(vector, unit(F.col(vector)))
+
+
 def severity_counts(cells: DataFrame) -> DataFrame:
     return cells.withColumn("severity", severity(F.col("change"))).groupBy("severity").agg(F.count(F.lit(1)).alias("n_cells"))
 

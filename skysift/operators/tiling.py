@@ -11,7 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skysift.operators.raster import lee_filter, padded, stretch, windows
+from skysift.functions.scores import decibel
+from skysift.operators.raster import gaussian_filter, lee_filter, median_filter, padded, polarisation_ratio, stretch, windows
 
 
 def chosen_bands(pixels: DataFrame, bands: Sequence[int] = (0, 1, 2), key: Sequence[str] = ("raster_id",)) -> DataFrame:
@@ -30,8 +31,8 @@ def normalised(pixels: DataFrame, bands: Sequence[int] = (0, 1, 2), key: Sequenc
 
 def radar_to_byte(pixels: DataFrame, key: Sequence[str] = ("raster_id",)) -> DataFrame:
     """One radar band (value): decibels, speckle filter, percentiles as 0 to 255."""
-    decibel = pixels.withColumn("value", 10 * F.log10(F.greatest(F.col("value").cast("double"), F.lit(1e-6))))
-    return stretch(lee_filter(decibel, key).withColumnRenamed("filtered", "value"), list(key))
+    logged = pixels.withColumn("value", 10 * F.log10(F.greatest(F.col("value").cast("double"), F.lit(1e-6))))
+    return stretch(lee_filter(logged, key).withColumnRenamed("filtered", "value"), list(key))
 
 
 def selected(pixels: DataFrame, bands: Sequence[int] = (1, 2, 3), key: Sequence[str] = ("raster_id",)) -> DataFrame:
@@ -132,3 +133,20 @@ def change_summary(polygons: DataFrame, pairs: DataFrame) -> DataFrame:
     return found.withColumn("n_pairs", pairs.select(F.count_distinct("pair_id")).scalar()).select("n_pairs", "n_polygons", "by_label")
 
 
+
+
+def radar_scene(pixels: DataFrame, key: Sequence[str] = ("raster_id",), *, gain: float = 1e-4, dual: bool = False, speckle: str | None = None) -> DataFrame:
+    """A radar scene in decibels: band 0, and where `dual` is asked for and there are two bands band 1 and the ratio of both as band 2.
+
+    `speckle` is 'median', 'gaussian', or anything else for none.
+    """
+    k = list(key)
+    bands = pixels.filter(F.col("band") < (2 if dual else 1)).select(*k, "band", "row", "col", decibel(F.col("value").cast("double"), gain).alias("value"))
+    smooth = {"median": median_filter, "gaussian": gaussian_filter}.get(speckle or "")
+    if smooth is not None:
+        bands = smooth(bands, [*k, "band"]).select(*k, "band", "row", "col", F.col("filtered").alias("value"))
+    if not dual:
+        return bands
+    both = [F.max(F.when(F.col("band") == i, F.col("value"))).alias(f"b{i}") for i in (0, 1)]
+    ratio = bands.groupBy(*k, "row", "col").agg(*both).filter("b1 is not null").select(*k, F.lit(2).alias("band"), "row", "col", polarisation_ratio(F.col("b0"), F.col("b1")).alias("value"))
+    return bands.unionByName(ratio)

@@ -130,3 +130,40 @@ def change_summary(spark, sf):
     patches = fx.patches(spark, sf)
     cells = change_map(patches).withColumn("label", F.concat(F.lit("change_severity_"), severity(F.col("change"))))
     return ti.change_summary(cells, patches)
+
+
+@query(with_views(""", d AS (SELECT raster_id, band, row, col, least(greatest(10 * log10(CAST(value AS DOUBLE) * value * 0.0001 + 1e-10), -30), 5) AS v FROM pixels3 WHERE band < 2)
+    SELECT raster_id, band, row, col, round(v, 4) AS value FROM d UNION ALL
+    SELECT a.raster_id, 2 AS band, a.row, a.col, round(a.v / (b.v + 1e-10), 4) AS value FROM d a JOIN d b ON a.raster_id = b.raster_id AND a.row = b.row AND a.col = b.col AND a.band = 0 AND b.band = 1""", "pixels", "pixels3"))
+def radar_scene(spark, sf):
+    # Near -1e-10 the ratio has no bound; the tables have no such pixel.
+    return ti.radar_scene(fx.pixels3(spark, sf), dual=True).select("raster_id", "band", "row", "col", scenes.r("value", 4))
+
+
+def _raw(spark, sf):
+    return fx.det(spark, sf).groupBy(F.concat(F.lit("t"), "raster_id").alias("filename")).agg(F.sort_array(F.collect_list(F.struct("det_id", F.array("xmin", "ymin", "xmax", "ymax").alias("b"), F.concat(F.lit(" "), "label").alias("l")))).alias("x")).select("filename", F.col("x.b").alias("bboxes"), F.col("x.l").alias("labels"))
+
+
+@query(with_views("SELECT 't' || raster_id AS filename, xmin, ymin, xmax, ymax, label, 1.0::DOUBLE AS confidence FROM det", "det"))
+def raw_output_nested(spark, sf):
+    from skysift.sources.adapters import nested_output
+
+    rows = nested_output(_raw(spark, sf)).select("filename", F.explode("detections").alias("d"))
+    return rows.select("filename", *[F.col("d.bbox")[i].alias(n) for i, n in enumerate(("xmin", "ymin", "xmax", "ymax"))], "d.label", "d.confidence")
+
+
+def detect_each_target(spark, sf):
+    """One call a tile and target; no SQL, the stub hashes in Python."""
+    from skysift.sources.adapters import detect_each
+
+    return detect_each(_manifest(spark, sf).select("filename"), "stub", ["tent", "vehicle"])
+
+
+def change_pipeline(spark, sf):
+    """Regions of all change pairs; no SQL, regions are labelled in Python."""
+    from skysift.operators.change import change_pipeline as run
+
+    return run(fx.patches(spark, sf), threshold=0.05, least_area=1)[0]
+
+
+QUERIES |= {f.__name__: f for f in (detect_each_target, change_pipeline)}

@@ -68,6 +68,52 @@ def detect(tiles: DataFrame, name: str, targets: list[str], *, key: str = "filen
     return tiles.select(key).mapInPandas(run, OUT)
 
 
+def detect_each(tiles: DataFrame, name: str, targets: list[str], *, key: str = "filename") -> DataFrame:
+    """Detections by one call for each tile and target, labelled with the target, for models that take one prompt."""
+    factory = _factories[name]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = _model(name, factory)
+        for batch in batches:
+            rows = []
+            for tile, target in zip(batch[key], batch["target"], strict=True):
+                try:
+                    found = model.predict(tile, [target])
+                except Exception:  # a bad tile must not end the run
+                    continue
+                rows += [[tile, *bbox, target, float(score)] for bbox, _, score in found]
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in OUT.split(", ")])
+
+    asked = tiles.select(key, F.explode(F.array(*map(F.lit, targets))).alias("target"))
+    return asked.mapInPandas(run, OUT)
+
+
+def nested_output(raw: DataFrame, *, confidence: float = 1.0) -> DataFrame:
+    """Raw output (filename, bboxes, labels) as an array of (bbox, label, confidence) a tile; labels are trimmed."""
+    rows = F.transform(F.arrays_zip("bboxes", "labels"), lambda x: F.struct(x["bboxes"].alias("bbox"), F.trim(x["labels"]).alias("label"), F.lit(confidence).alias("confidence")))
+    return raw.select("filename", rows.alias("detections"))
+
+
+def write_profile(spark, path: str, a: float, b: float, temperature: float = 1.0) -> None:
+    """A calibration profile as JSON."""
+    spark.createDataFrame([(a, b, temperature)], "platt_a double, platt_b double, temperature double").coalesce(1).write.mode("overwrite").json(path)
+
+
+def read_profile(spark, path: str) -> DataFrame:
+    """One row: platt_a, platt_b, temperature; 1, 0 and 1 where the file lacks them."""
+    rows = spark.read.schema("platt_a double, platt_b double, temperature double").json(path, multiLine=False)
+    return rows.select(*[F.coalesce(c, F.lit(v)).alias(c) for c, v in (("platt_a", 1.0), ("platt_b", 0.0), ("temperature", 1.0))]).limit(1)
+
+
+def resolved_input(spark, name: str, raw_dir: str = "data/raw") -> str:
+    """The path as given, or in the folder of raw scenes; an error where neither exists. Any file system that Spark reads."""
+    for path in (name, f"{raw_dir.rstrip('/')}/{name}"):
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        if p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+            return path
+    raise FileNotFoundError(f"neither {name} nor {raw_dir}/{name}")
+
+
 def run_pending(tiles: DataFrame, results_path: str, name: str, targets: list[str], *, overwrite: bool = False) -> int:
     """Runs the tiles that have no result yet and appends; the number of tiles run. `done` rows mark tiles without detections."""
     spark = tiles.sparkSession

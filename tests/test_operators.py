@@ -301,3 +301,39 @@ def test_empty_detections_stay_typed(spark):
     none = spark.createDataFrame([], DET)
     for out in (suppression.suppress(none), suppression.fuse_boxes(none.withColumn("model_source", F.lit("x"))), detections.plausible_shape(none), spatial.density_discount(none)):
         assert out.count() == 0 and "confidence" in out.columns
+
+
+def test_chips_by_brute_force(spark):
+    from skysift.operators import raster
+
+    for height, width, size, stride in ((23, 40, 8, 6), (7, 9, 8, 6), (64, 64, 24, 16), (20, 20, 20, 3)):
+        pixels = spark.createDataFrame([(0, r, c, r * 100 + c) for r in range(height) for c in range(width)], "raster_id long, row long, col long, value long")
+        shape = spark.createDataFrame([(0, height, width)], "raster_id long, height long, width long")
+        grid = {(w.row_idx, w.col_idx): w for w in raster.windows(shape, size, stride).collect()}
+        want = {(i, r - w.row_off, c - w.col_off, r * 100 + c) for i, w in grid.items() for r in range(w.row_off, w.row_off + w.win_h) for c in range(w.col_off, w.col_off + w.win_w)}
+        got = [((t.row_idx, t.col_idx), t.row, t.col, t.value) for t in raster.tile_pixels(pixels, size, stride).collect()]
+        assert len(got) == len(want) and set(got) == want
+
+
+def test_one_radar_band_is_given_three_times(spark):
+    from skysift.operators import tiling
+
+    rows = [(0, r, c, 0, 1 + r * c) for r in range(6) for c in range(6)] + [(1, r, c, b, r + c + b) for r in range(4) for c in range(4) for b in range(2)]
+    out = tiling.selected(spark.createDataFrame(rows, "raster_id long, row long, col long, band int, value long")).collect()
+    one = {}
+    for x in out:
+        one.setdefault((x.raster_id, x.row, x.col), {})[x.band] = x.stretched
+    assert all(set(v) == {0, 1, 2} for v in one.values()) and all(v[0] == v[1] == v[2] for (i, _, _), v in one.items() if i == 0)
+    assert all(v[1] == v[2] for (i, _, _), v in one.items() if i == 1) and len(one) == 52
+
+
+def test_profiles_and_inputs(spark, tmp_path):
+    from skysift.sources import adapters
+
+    adapters.write_profile(spark, f"{tmp_path}/p", 1.5, -0.25)
+    assert tuple(adapters.read_profile(spark, f"{tmp_path}/p").first()) == (1.5, -0.25, 1.0)
+    (tmp_path / "q.json").write_text('{"platt_b": 2.0}')
+    assert tuple(adapters.read_profile(spark, f"{tmp_path}/q.json").first()) == (1.0, 2.0, 1.0)
+    assert adapters.resolved_input(spark, "q.json", str(tmp_path)) == f"{tmp_path}/q.json"
+    with pytest.raises(FileNotFoundError):
+        adapters.resolved_input(spark, "none.tif", str(tmp_path))
