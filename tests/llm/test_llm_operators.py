@@ -596,6 +596,13 @@ def test_licenses_of_odd_rows(spark):
     assert got == [(0, "mit", 2), (1, "apache", 2), (1, "cc-by", 2), (1, "cc-by", 2), (2, "", 0), (3, "mit", 100_002)]
 
 
+def test_licenses_lower_only_ascii_letters(spark):
+    texts = ["KIT BY", "\u212aIT BY", "K\u0130T BY", "kit\u00c9 by", " \u00c9T\u00c9 kit by"]
+    got = {r.doc_id: (r.labels, r.n_words, r.first_word) for r in license_join.scan_licenses(docs_of(spark, texts), phrases={"kit by": "kit"}).collect()}
+    assert got == {0: ("kit", 2, 0), 1: ("", 2, None), 2: ("", 2, None), 3: ("", 2, None), 4: ("kit", 3, 1)}
+    assert {r.n_words for r in license_join.scan_licenses(docs_of(spark, texts), phrases={}, templates=()).collect()} == {2, 3}
+
+
 def best_run(text, template, threshold=0.8):
     """The largest share of a template's words in a line or in a run of its length divided by the threshold."""
     words = lambda t: license_join._python_words(t)
