@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from skysift.functions import scores
+from skysift.functions import scores, utm
 from skysift.functions.utm import from_utm, to_utm
 from skysift.operators import catalog as ca
 from skysift.operators import change as ch
@@ -349,7 +349,35 @@ def utm_round_trip(spark, sf):
     return p.select("incident_id", "epsg", e.alias("e"), n.alias("n")).select("incident_id", F.round(lon, 7).alias("lon"), F.round(lat, 7).alias("lat"))
 
 
-@query()
+def _buffer_sql(metres: float = 1000.0) -> str:
+    """Squares around incidents: to the point's zone by the Krüger series, out to the corners, and back."""
+    series = lambda terms, sign, a, b, x, y: "".join(f" {sign} CAST({t!r} AS DOUBLE) * {a}({2 * j} * {x}) * {b}({2 * j} * {y})" for j, t in enumerate(terms, 1))
+    e, scale = f"CAST({utm._E!r} AS DOUBLE)", f"CAST({utm._K0 * utm._RADIUS!r} AS DOUBLE)"
+    latitude = "chi"
+    for _ in range(4):
+        latitude = f"asin(tanh(atanh(sin(chi)) + {e} * atanh({e} * sin({latitude}))))"
+    corners = ", ".join(f"({i}, {x * metres}, {y * metres})" for i, (x, y) in enumerate(((1, -1), (1, 1), (-1, 1), (-1, -1))))
+    return f""", zoned AS (
+    SELECT incident_id, radians(lat) AS phi, lon, CASE WHEN lat >= 0 THEN 32600 ELSE 32700 END + CAST(trunc((lon + 180) / 6) AS INT) + 1 AS epsg FROM incidents
+), spheric AS (
+    SELECT *, radians(CAST(epsg % 100 * 6 - 183 AS DOUBLE)) AS meridian, sinh(atanh(sin(phi)) - {e} * atanh({e} * sin(phi))) AS t FROM zoned
+), gauss AS (
+    SELECT *, atan2(t, cos(radians(lon) - meridian)) AS xi, atanh(sin(radians(lon) - meridian) / sqrt(1 + t * t)) AS eta FROM spheric
+), flat AS (
+    SELECT *, {scale} * (eta{series(utm._FORWARD, "+", "cos", "sinh", "xi", "eta")}) AS e, {scale} * (xi{series(utm._FORWARD, "+", "sin", "cosh", "xi", "eta")}) AS n FROM gauss
+), corners AS (
+    SELECT incident_id, epsg, meridian, i, (n + CAST(dy AS DOUBLE)) / {scale} AS xi, (e + CAST(dx AS DOUBLE)) / {scale} AS eta FROM flat, (VALUES {corners}) AS c(i, dx, dy)
+), back AS (
+    SELECT *, xi{series(utm._INVERSE, "-", "sin", "cosh", "xi", "eta")} AS u, eta{series(utm._INVERSE, "-", "cos", "sinh", "xi", "eta")} AS v FROM corners
+), placed AS (
+    SELECT *, asin(sin(u) / cosh(v)) AS chi FROM back
+), degree AS (
+    SELECT incident_id, epsg, i, round(degrees(atan2(sinh(v), cos(u)) + meridian), 6) AS x, round(degrees({latitude}), 6) AS y FROM placed
+)
+SELECT incident_id, epsg, {", ".join(f"max({k}) FILTER (i = {i}) AS {k}{i}" for i in range(4) for k in "xy")} FROM degree GROUP BY incident_id, epsg"""
+
+
+@query(with_views(_buffer_sql(), "incidents"))
 def metric_buffer(spark, sf):
     rings = ca.metric_buffer(fx.incidents(spark, sf))
     return rings.select("incident_id", "epsg", *[F.round(F.get("ring", F.lit(i))[k], 6).alias(f"{k}{i}") for i in range(4) for k in "xy"])
