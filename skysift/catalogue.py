@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skysift.plans import detection_queries, scene_queries, tiling_queries
+from skysift.plans import detection_queries, polygon_queries, scene_queries, tiling_queries
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {**detection_queries.QUERIES, **scene_queries.QUERIES, **tiling_queries.QUERIES}
+    return {**detection_queries.QUERIES, **scene_queries.QUERIES, **tiling_queries.QUERIES, **polygon_queries.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**detection_queries.SQL, **scene_queries.SQL, **tiling_queries.SQL}
+    return {**detection_queries.SQL, **scene_queries.SQL, **tiling_queries.SQL, **polygon_queries.SQL}

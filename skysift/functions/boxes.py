@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -92,5 +93,10 @@ def ring_area(ring: Column) -> Column:
     return F.abs(F.aggregate(terms, F.lit(0.0), lambda s, v: s + v)) / 2
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that stands in the expression once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def any_of(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions)

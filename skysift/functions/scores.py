@@ -71,3 +71,13 @@ def entropy_bin(value: Column) -> Column:
 def utm_zone(lon: Column, lat: Column) -> Column:
     """EPSG code of the UTM zone of a point, by longitude alone and the hemisphere."""
     return F.when(lat >= 0, 32600).otherwise(32700) + ((lon + 180) / 6).cast("int") + 1
+
+
+def rounded(x: Column, digits: int) -> Column:
+    """A double to so many digits by its exact binary value, ties to even: 136.575, which is stored a little below, gives 136.57."""
+    scale = 10.0**digits
+    p = x * scale
+    high = x * 134217729.0 - (x * 134217729.0 - x)
+    lost = (high * scale - p) + (x - high) * scale
+    tie = p - F.floor(p) == 0.5
+    return F.when(tie & (lost > 0), F.ceil(p)).when(tie & (lost < 0), F.floor(p)).otherwise(F.rint(p)) / scale

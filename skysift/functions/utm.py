@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from skysift.functions.boxes import let
+
 _A, _F = 6378137.0, 1 / 298.257223563
 _N = _F / (2 - _F)
 _RADIUS = _A / (1 + _N) * (1 + _N**2 / 4 + _N**4 / 64)
@@ -61,6 +63,21 @@ def from_utm(east: Column, north: Column, epsg: Column) -> tuple[Column, Column]
     return F.degrees(F.atan2(F.sinh(eta), F.cos(xi)) + _meridian(epsg)), F.degrees(phi)
 
 
+def reprojected(ring: Column, source: Column, target: Column) -> Column:
+    """A ring of struct(x, y) from one EPSG code to another: 4326 and the WGS 84 UTM zones, by way of degrees."""
+    source, target = known_crs(source), known_crs(target)
+
+    def move(p: Column) -> Column:
+        lon, lat = (F.when(source == 4326, d).otherwise(m) for d, m in zip((p["x"], p["y"]), from_utm(p["x"], p["y"], source), strict=True))
+        return let(F.struct(lon.alias("x"), lat.alias("y")), place)
+
+    def place(p: Column) -> Column:
+        east, north = (F.when(target == 4326, d).otherwise(m) for d, m in zip((p["x"], p["y"]), to_utm(p["x"], p["y"], target), strict=True))
+        return F.struct(east.alias("x"), north.alias("y"))
+
+    return F.when(source == target, ring).otherwise(F.transform(ring, move))
+
+
 def known_crs(epsg: Column) -> Column:
     """The code where it is supported, else an error: 4326, 32601-32660 and 32701-32760."""
     good = (epsg == 4326) | epsg.between(32601, 32660) | epsg.between(32701, 32760)

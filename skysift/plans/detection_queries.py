@@ -8,6 +8,7 @@ from skysift.functions import boxes
 from skysift.functions.boxes import box
 from skysift.operators import detections as d
 from skysift.operators import evaluation as ev
+from skysift.operators import polygons as po
 from skysift.operators import spatial as sp
 from skysift.operators import suppression as su
 from skysift.plans import fixtures as fx
@@ -87,12 +88,24 @@ def nms_agnostic(spark, sf):
     return su.suppress(fx.det(spark, sf), ("raster_id",)).select("det_id", "raster_id", "label", "confidence")
 
 
-@query()
+def _soft_sql(factor: str) -> str:
+    """The best open box of a raster leaves, and the scores of the rest decay by their overlap with it, until none is open."""
+    fields = "'det_id': det_id, 'xmin': xmin, 'ymin': ymin, 'xmax': xmax, 'ymax': ymax, 'score': score"
+    rest = ", ".join(f"'{c}': x.{c}" for c in ("det_id", "xmin", "ymin", "xmax", "ymax"))
+    return f"""{_SCORED}, taken(raster_id, b, rest) AS (
+        SELECT raster_id, NULL::STRUCT(det_id BIGINT, xmin DOUBLE, ymin DOUBLE, xmax DOUBLE, ymax DOUBLE, score DOUBLE), list({{{fields}}}) FROM scored GROUP BY raster_id
+        UNION ALL
+        SELECT raster_id, best, list_transform(list_filter(rest, lambda x: x.det_id <> best.det_id), lambda x: {{{rest}, 'score': x.score * {factor.format(iou_sql('best', 'x'))}}})
+        FROM (SELECT raster_id, rest, list_reduce(rest, lambda a, x: CASE WHEN x.score > a.score OR (x.score = a.score AND x.det_id < a.det_id) THEN x ELSE a END) AS best FROM taken WHERE len(rest) > 0)
+    ) SELECT det_id, d.raster_id, confidence, round(b.score, 6) AS decayed FROM taken t JOIN det d ON d.det_id = t.b.det_id WHERE b.score >= 0.25"""
+
+
+@query(with_views(_soft_sql("exp(-({0} * {0}) / 0.5)"), "det"))
 def soft_nms_gaussian(spark, sf):
     return su.soft_suppress(fx.det(spark, sf)).select("det_id", "raster_id", "confidence", F.round("decayed", 6).alias("decayed"))
 
 
-@query()
+@query(with_views(_soft_sql("CASE WHEN {0} > 0.45 THEN 1 - {0} ELSE 1 END"), "det"))
 def soft_nms_linear(spark, sf):
     return su.soft_suppress(fx.det(spark, sf), method="linear").select("det_id", "raster_id", "confidence", F.round("decayed", 6).alias("decayed"))
 
@@ -350,10 +363,10 @@ _POINT = "regexp_matches(lower(label), 'tent|aircraft|helicopter|vehicle')"
 @query(with_views(_PLACED + f""" SELECT det_id, CASE WHEN {_POINT} THEN 'Point' ELSE 'Polygon' END AS geom_type,
     round(({' + '.join(x for x, _ in _CORNERS)}) / 4, 4) AS x, round(({' + '.join(y for _, y in _CORNERS)}) / 4, 4) AS y FROM placed""", "det"))
 def geometry_typing(spark, sf):
-    rows = _placed(spark, sf).withColumn("ring", boxes.corners(_affine(), box()))
-    point = F.lower("label").rlike("tent|aircraft|helicopter|vehicle")
-    mean = lambda k: F.round(sum((F.get("ring", F.lit(i))[k] for i in range(1, 4)), F.get("ring", F.lit(0))[k]) / 4, 4)
-    return rows.select("det_id", F.when(point, "Point").otherwise("Polygon").alias("geom_type"), mean("x").alias("x"), mean("y").alias("y"))
+    rows = po.placed(_placed(spark, sf), _affine())
+    typed = rows.withColumn("typed", po.typed_ring(F.col("ring"), F.col("label")))
+    mean = lambda k: F.round(F.aggregate("ring", F.lit(0.0), lambda s, p: s + p[k]) / 4, 4)
+    return typed.select("det_id", F.when(F.size("typed") == 1, "Point").otherwise("Polygon").alias("geom_type"), mean("x").alias("x"), mean("y").alias("y"))
 
 
 # North-up rasters only: there the polygons' overlap is that of their boxes. Points have no area and always stay.

@@ -176,19 +176,22 @@ def catalogue(headers: DataFrame) -> DataFrame:
 
 def read_pixels(spark: SparkSession, folder: str) -> DataFrame:
     """(path, band, row, values): one row a line of a band, to be exploded where pixels are wanted."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.[tT][iI][fF]*").load(folder)
+    return band_lines(spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.[tT][iI][fF]*").load(folder))
 
+
+def band_lines(files: DataFrame, key: str = "path") -> DataFrame:
+    """(key, band, row, values) of files given by their `content`."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for path, content in zip(batch.path, batch.content, strict=True):
+            for name, content in zip(batch[key], batch.content, strict=True):
                 for k, plane in enumerate(read_bands(content)):
-                    yield pd.DataFrame({"path": path, "band": k, "row": np.arange(len(plane)), "values": list(plane.astype(float))})
+                    yield pd.DataFrame({key: name, "band": k, "row": np.arange(len(plane)), "values": list(plane.astype(float))})
 
-    return files.select("path", "content").mapInPandas(run, "path string, band int, row long, values array<double>")
+    return files.select(key, "content").mapInPandas(run, f"{key} {files.schema[key].dataType.simpleString()}, band int, row long, values array<double>")
 
 
-def long_pixels(lines: DataFrame) -> DataFrame:
-    return lines.select("path", "band", "row", F.posexplode("values").alias("col", "value"))
+def long_pixels(lines: DataFrame, key: str = "path") -> DataFrame:
+    return lines.select(key, "band", "row", F.posexplode("values").alias("col", "value"))
 
 
 def encoded_tiles(pixels: DataFrame, key: str, transform: list[float], epsg: int, *, nodata: float = 0) -> DataFrame:
