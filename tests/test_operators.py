@@ -93,6 +93,34 @@ def test_assignment_is_optimal(n, extra, random):
     assert abs(cost[np.arange(n), got].sum() - best) < 1e-9
 
 
+@given(st.integers(1, 12), st.integers(1, 12), st.randoms(use_true_random=False))
+@settings(max_examples=60, deadline=None)
+def test_sparse_matching_is_optimal(n, m, random):
+    side = lambda: random.randint(0, 9)
+    make = lambda k: np.array([[x, y, x + side(), y + side()] for x, y in ((random.randint(0, 20), random.randint(0, 20)) for _ in range(k))], float)
+    gt, pred = make(n), make(m)
+    overlap = np.stack([suppression.pair_iou(g[None, :], pred) for g in gt])
+    got = evaluation.match(gt, pred)
+    flat = overlap if n <= m else overlap.T
+    best = flat[np.arange(len(flat)), evaluation.assignment(1 - flat)].sum()
+    assert sum(x for *_, x in got) == pytest.approx(best) and all(overlap[i, j] == x > 0 for i, j, x in got)
+    assert len({i for i, _, _ in got}) == len({j for _, j, _ in got}) == len(got)
+
+
+def crowded(spark, n, labels=("a",)):
+    """(gt, pred): n boxes on a square, and each moved by two pixels."""
+    i = F.col("id")
+    x, y = (i * 7919) % 3907, (i * 6421) % 3911
+    at = lambda d: spark.range(n).select((2 * i + d).alias("det_id"), F.lit(0).cast("long").alias("raster_id"), F.element_at(F.array(*map(F.lit, labels)), (i % len(labels) + 1).cast("int")).alias("label"), *[(v + 2 * d).cast("double").alias(c) for v, c in ((x, "xmin"), (y, "ymin"), (x + 8 + (i * 31) % 92, "xmax"), (y + 8 + (i * 17) % 92, "ymax"))])
+    return at(0), at(1)
+
+
+def test_report_of_a_large_class(spark):
+    gt, pred = crowded(spark, 9000, ("a", "b", "c"))
+    pairs = evaluation.matches(gt, pred)
+    assert {(r["class"], r.tp + r.fn, r.fp + r.tp) for r in evaluation.report(gt, pred, pairs).collect()} == {(c, 3000, 3000) for c in "abc"}
+
+
 def test_report_of_known_objects(spark):
     gt = synthetic.ground_truth(spark).select(F.monotonically_increasing_id().alias("det_id"), F.lit(0).cast("long").alias("raster_id"), "label", "xmin", "ymin", "xmax", "ymax")
     pred = gt.filter("label != 'trench'")
