@@ -115,6 +115,18 @@ def crowded(spark, n, labels=("a",)):
     return at(0), at(1)
 
 
+def test_large_groups_are_matched_without_a_dense_table(spark):
+    """Of one group of 12,000 and 12,000 boxes a dense table has 1.2 GB; the overlaps take a few MB."""
+    import tracemalloc
+
+    gt, pred = (np.array([r[3:] for r in d.collect()]) for d in crowded(spark, 12000))
+    tracemalloc.start()
+    got = evaluation.match(gt, pred)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [(i, j) for i, j, _ in got] == [(i, i) for i in range(12000)] and peak < 400e6
+
+
 def test_report_of_a_large_class(spark):
     gt, pred = crowded(spark, 9000, ("a", "b", "c"))
     pairs = evaluation.matches(gt, pred)
