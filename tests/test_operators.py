@@ -131,6 +131,8 @@ def test_report_of_a_large_class(spark):
     gt, pred = crowded(spark, 9000, ("a", "b", "c"))
     pairs = evaluation.matches(gt, pred)
     assert {(r["class"], r.tp + r.fn, r.fp + r.tp) for r in evaluation.report(gt, pred, pairs).collect()} == {(c, 3000, 3000) for c in "abc"}
+    every = evaluation.report(*map(evaluation.location_only, (gt, pred, pairs))).collect()
+    assert [(r["class"], r.tp + r.fn, r.tp) for r in every] == [("object", 9000, pairs.filter("iou >= 0.5").count())] and pairs.count() == 9000
 
 
 def test_report_of_known_objects(spark):
