@@ -131,7 +131,8 @@ def padded(pixels: DataFrame, size: int, key: Sequence[str] = ("raster_id",), *,
         return x
 
     full = full.withColumn("__r", source(F.col("row"), F.col("h"))).withColumn("__c", source(F.col("col"), F.col("w")))
-    have = pixels.select(*k, F.col("row").alias("__r"), F.col("col").alias("__c"), "value")
+    # Both sides are exploded, which the planner's sizes do not show: neither may be broadcast.
+    have = pixels.select(*k, F.col("row").alias("__r"), F.col("col").alias("__c"), "value").hint("merge")
     valid = (F.col("row") < F.col("h")) & (F.col("col") < F.col("w"))
     return full.join(have, [*k, "__r", "__c"], "left").select(*k, "row", "col", F.coalesce("value", F.lit(fill)).alias("value"), valid.alias("is_valid"))
 

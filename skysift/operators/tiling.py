@@ -21,7 +21,9 @@ def chosen_bands(pixels: DataFrame, bands: Sequence[int] = (0, 1, 2), key: Seque
     n = pixels.groupBy(*k).agg((F.max("band") + 1).alias("__n"))
     asked = F.array(*[F.struct(F.lit(i).alias("out"), F.lit(b).alias("source")) for i, b in enumerate(bands)])
     mine = F.filter(asked, lambda x: F.greatest(F.least(x["source"], F.col("__n") - 1), F.lit(0)) == F.col("band"))
-    return pixels.join(n, k).withColumn("__band", F.explode(mine)).withColumn("band", F.col("__band.out")).drop("__n", "__band")
+    # An outer join, in which the planner can't take the pixels for the smaller side and broadcast them.
+    held = pixels.dropna(subset=k).join(n, k, "left")
+    return held.withColumn("__band", F.explode(mine)).withColumn("band", F.col("__band.out")).drop("__n", "__band")
 
 
 def normalised(pixels: DataFrame, bands: Sequence[int] = (0, 1, 2), key: Sequence[str] = ("raster_id",), *, nodata: float | None = None) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import itertools
 import json
+import re
 import sqlite3
 
 import numpy as np
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from skysift.functions import boxes, scores
 from skysift.functions.utm import to_utm
-from skysift.operators import catalog, change, detections, evaluation, raster, spatial, suppression
+from skysift.operators import catalog, change, detections, evaluation, raster, spatial, suppression, tiling
 from skysift.sources import adapters, geotiff, prompts, synthetic, vectors
 from skysift.streaming import incidents
 
@@ -379,3 +380,21 @@ def test_profiles_and_inputs(spark, tmp_path):
     assert adapters.resolved_input(spark, "q.json", str(tmp_path)) == f"{tmp_path}/q.json"
     with pytest.raises(FileNotFoundError):
         adapters.resolved_input(spark, "none.tif", str(tmp_path))
+
+
+def broadcast_inputs(df):
+    """The operators, projections and filters aside, whose rows a plan broadcasts."""
+    lines, found = df._jdf.queryExecution().executedPlan().toString().splitlines(), []
+    for i, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            below = (re.sub(r"^[\s:+*-]*(\(\d+\) )?", "", x).split("(")[0].split()[0] for x in lines[i + 1 :])
+            found.append(next(x for x in below if x not in ("Project", "Filter", "ColumnarToRow")))
+    return found
+
+
+def test_tiles_broadcast_no_pixels(spark):
+    """Exploded pixels look small to the planner; only what is aggregated by tile may be broadcast."""
+    from skysift.plans import fixtures
+
+    tiles = raster.tile_pixels(fixtures.pixels3(spark, "/root/testdata/sf0.01"), 24, 16)
+    assert set(broadcast_inputs(tiling.finished_tiles(tiles, 24))) <= {"HashAggregate", "ObjectHashAggregate"}
