@@ -194,20 +194,31 @@ def overview(pixels: DataFrame, factor: int) -> DataFrame:
     return kept.withColumns({"row": F.floor(F.col("row") / factor), "col": F.floor(F.col("col") / factor)})
 
 
+def _targets(at: Column, n: Column, m: Column) -> Column:
+    """Along one axis of n positions resampled to m: struct(t, w) of each target that reads position `at`, and its share of it."""
+    spot = lambda t: F.least(F.greatest((t + 0.5) * n / m - 0.5, F.lit(0.0)), n - 1.0)
+    # The targets about the position, one more on either side against rounding, then those that read it.
+    low = F.when(at <= 0, 0).otherwise(F.greatest(F.floor((at - 0.5) * m / n - 0.5) - 1, F.lit(0)))
+    high = F.when(at >= n - 1, m - 1).otherwise(F.least(F.ceil((at + 1.5) * m / n - 0.5) + 1, m - 1))
+    near = F.transform(F.sequence(low.cast("long"), F.greatest(low, high).cast("long")), lambda t: F.struct(t.alias("t"), spot(t).alias("y")))
+    share = lambda s: F.when(F.floor(s["y"]) == at, 1 - (s["y"] - F.floor(s["y"]))).otherwise(0.0) + F.when(F.least(F.floor(s["y"]) + 1, n - 1) == at, s["y"] - F.floor(s["y"])).otherwise(0.0)
+    reads = F.filter(near, lambda s: (F.floor(s["y"]) == at) | (F.least(F.floor(s["y"]) + 1, n - 1) == at))
+    return F.transform(reads, lambda s: F.struct(s["t"].alias("t"), share(s).alias("w")))
+
+
 def resampled(pixels: DataFrame, scale: float, key: Sequence[str] = ("raster_id",)) -> DataFrame:
-    """Bilinear resampling to round(n * scale) rows and columns, by pixel centres."""
+    """Bilinear resampling to round(n * scale) rows and columns, by pixel centres.
+
+    Each pixel is sent to the targets that read it, so no grid of targets
+    stands by itself and is joined.
+    """
     k = list(key)
     shape = pixels.groupBy(*k).agg((F.max("row") + 1).alias("h"), (F.max("col") + 1).alias("w"))
     shape = shape.withColumns({"new_h": F.greatest(F.bround(F.col("h") * scale), F.lit(1)).cast("long"), "new_w": F.greatest(F.bround(F.col("w") * scale), F.lit(1)).cast("long")})
-    grid = shape.withColumn("row", F.explode(F.sequence(F.lit(0).cast("long"), F.col("new_h") - 1))).withColumn("col", F.explode(F.sequence(F.lit(0).cast("long"), F.col("new_w") - 1)))
-    at = lambda x, n, m: F.least(F.greatest((F.col(x) + 0.5) * F.col(n) / F.col(m) - 0.5, F.lit(0.0)), F.col(n) - 1.0)
-    grid = grid.withColumns({"y": at("row", "h", "new_h"), "x": at("col", "w", "new_w")})
-    grid = grid.withColumn("dy", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("dx", F.explode(F.array(F.lit(0), F.lit(1))))
-    fy, fx = F.col("y") - F.floor("y"), F.col("x") - F.floor("x")
-    weight = F.when(F.col("dy") == 1, fy).otherwise(1 - fy) * F.when(F.col("dx") == 1, fx).otherwise(1 - fx)
-    grid = grid.withColumn("weight", weight).withColumn("__r", F.least(F.floor("y") + F.col("dy"), F.col("h") - 1)).withColumn("__c", F.least(F.floor("x") + F.col("dx"), F.col("w") - 1))
-    have = pixels.select(*k, F.col("row").alias("__r"), F.col("col").alias("__c"), "value")
-    return grid.join(have, [*k, "__r", "__c"]).groupBy(*k, "row", "col").agg(F.sum(F.col("value") * F.col("weight")).alias("value"))
+    # An outer join, in which the planner can't take the pixels for the smaller side and broadcast them.
+    sent = pixels.dropna(subset=[*k, "row", "col"]).select(*k, "row", "col", "value").join(shape, k, "left")
+    sent = sent.withColumn("__r", F.explode(_targets(F.col("row"), F.col("h"), F.col("new_h")))).withColumn("__c", F.explode(_targets(F.col("col"), F.col("w"), F.col("new_w"))))
+    return sent.groupBy(*k, F.col("__r.t").alias("row"), F.col("__c.t").alias("col")).agg(F.sum(F.col("value") * F.col("__r.w") * F.col("__c.w")).alias("value"))
 
 
 def otsu(cells: DataFrame, key: Sequence[str] = ("pair_id",), value: str = "change") -> DataFrame:

@@ -398,3 +398,23 @@ def test_tiles_broadcast_no_pixels(spark):
 
     tiles = raster.tile_pixels(fixtures.pixels3(spark, "/root/testdata/sf0.01"), 24, 16)
     assert set(broadcast_inputs(tiling.finished_tiles(tiles, 24))) <= {"HashAggregate", "ObjectHashAggregate"}
+
+
+def test_resampling_by_brute_force(spark):
+    """Up, down and in place, on rasters of one line, with pixels missing; the plan joins no grid of targets."""
+    rng = np.random.default_rng(5)
+    shapes = {0: (1, 1), 1: (7, 1), 2: (2, 9), 3: (11, 6)}
+    rows = [(k, r, c, int(rng.integers(0, 256))) for k, (h, w) in shapes.items() for r in range(h) for c in range(w) if (r, c) == (h - 1, w - 1) or rng.random() < 0.8]
+    px, have = spark.createDataFrame(rows, "raster_id long, row long, col long, value long"), {x[:3]: x[3] for x in rows}
+    for scale in (0.3, 0.6, 1.0, 2.5):
+        want = {}
+        for k, (h, w) in shapes.items():
+            hh, ww = max(round(h * scale), 1), max(round(w * scale), 1)
+            for r, c in itertools.product(range(hh), range(ww)):
+                y, x = min(max((r + 0.5) * h / hh - 0.5, 0), h - 1), min(max((c + 0.5) * w / ww - 0.5, 0), w - 1)
+                four = [((k, min(int(y) + dy, h - 1), min(int(x) + dx, w - 1)), (y % 1 if dy else 1 - y % 1) * (x % 1 if dx else 1 - x % 1)) for dy in (0, 1) for dx in (0, 1)]
+                if any(at in have for at, _ in four):
+                    want[k, r, c] = pytest.approx(sum(have[at] * f for at, f in four if at in have))
+        out = raster.resampled(px, scale)
+        assert {(x.raster_id, x.row, x.col): x.value for x in out.collect()} == want
+        assert out._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
