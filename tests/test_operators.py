@@ -418,3 +418,23 @@ def test_resampling_by_brute_force(spark):
         out = raster.resampled(px, scale)
         assert {(x.raster_id, x.row, x.col): x.value for x in out.collect()} == want
         assert out._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+
+
+def test_gaussian_by_brute_force(spark):
+    """Over block borders, thin rasters, missing and null pixels; a pixel moves to the blocks near it and to no neighbour."""
+    rng = np.random.default_rng(6)
+    shapes = {0: (1, 1), 1: (3, 20), 2: (19, 17), 3: (16, 2)}
+    rows = [(k, r, c, None if rng.random() < 0.1 else float(rng.integers(0, 256))) for k, (h, w) in shapes.items() for r in range(h) for c in range(w) if (r, c) == (h - 1, w - 1) or rng.random() < 0.9]
+    px, have = spark.createDataFrame(rows, "raster_id long, row long, col long, value double"), {x[:3]: x[3] for x in rows}
+    f = np.exp(-0.5 * (np.arange(-6, 7) / 1.5) ** 2)
+    mirror = lambda x, n: -x - 1 if x < 0 else 2 * n - 1 - x if x >= n else x
+    want = {}
+    for k, r, c in have:
+        h, w = shapes[k]
+        near = [(have.get((k, mirror(r + i, h), mirror(c + j, w))), f[i + 6] * f[j + 6]) for i in range(-6, 7) for j in range(-6, 7)]
+        some = [v * g for v, g in near if v is not None]
+        want[k, r, c] = pytest.approx(sum(some) / f.sum() ** 2) if some else None
+    for block in (8, 256):
+        out = raster.gaussian_filter(px, block=block)
+        assert {(x.raster_id, x.row, x.col): x.filtered for x in out.collect()} == want
+    assert "explode([-6" not in out._jdf.queryExecution().optimizedPlan().toString()
