@@ -41,6 +41,9 @@ def acquisition_time(filename: Column, sidecar: Column | None = None, xml: Colum
     """ISO text of the acquisition time: sidecar JSON, sidecar XML, TIFF tags, the file's name, its modification time; the first found.
 
     In a name the time of day needs a literal T; a date alone is midnight UTC.
+    A name's numbers may look like dates ("1234_20240105"): the first valid date
+    counts that begins a run of digits and has one separator or none, else the
+    first match with separators of any kind.
     """
     tries = []
     if sidecar is not None:
@@ -50,10 +53,17 @@ def acquisition_time(filename: Column, sidecar: Column | None = None, xml: Colum
         tries.append(F.when(found != "", found))
     if tags is not None:
         tries += [F.try_element_at(tags, F.lit(k)) for k in ("TIFFTAG_DATETIME", "AREA_OR_POINT", "acquisition_date")]
-    raw = F.regexp_replace(F.regexp_extract(filename, r"(\d{4}[-_]?\d{2}[-_]?\d{2}(?:T\d{2}[-_]?\d{2}[-_]?\d{2})?)", 1), "[-_T]", "")
-    full, day = F.try_to_timestamp(F.substring(raw, 1, 14), F.lit("yyyyMMddHHmmss")), F.try_to_timestamp(F.substring(raw, 1, 8), F.lit("yyyyMMdd"))
+    time = r"(?:T\d{2}[-_]?\d{2}[-_]?\d{2})?"
+    plain = F.regexp_extract_all(filename, F.lit(rf"(?<!\d)(?=(\d{{4}}([-_]?)\d{{2}}\2\d{{2}}{time}))"), 1)
+    loose = F.regexp_extract(filename, rf"(\d{{4}}[-_]?\d{{2}}[-_]?\d{{2}}{time})", 1)
+
+    def read(found: Column) -> Column:
+        raw = F.regexp_replace(found, "[-_T]", "")
+        full, day = F.try_to_timestamp(F.substring(raw, 1, 14), F.lit("yyyyMMddHHmmss")), F.try_to_timestamp(F.substring(raw, 1, 8), F.lit("yyyyMMdd"))
+        return F.when(F.length(raw) >= 14, full).otherwise(day)
+
     iso = lambda t: F.date_format(t, "yyyy-MM-dd'T'HH:mm:ssXXX").alias("t")
-    in_name = F.when(F.length(raw) >= 14, full).otherwise(day)
+    in_name = F.get(F.filter(F.transform(F.concat(plain, F.array(loose)), read), lambda t: t.isNotNull()), F.lit(0))
     tries.append(F.regexp_replace(iso(in_name), "Z$", "+00:00"))
     if modified is not None:
         tries.append(F.regexp_replace(iso(modified), "Z$", "+00:00"))

@@ -248,6 +248,14 @@ def test_catalogue_times(spark):
     assert got == ["2024-01-02T03:04:05+00:00", "2024-01-02T00:00:00+00:00", "2020-01-01T00:00:00", None]
 
 
+def test_numbers_before_the_date_of_a_name(spark):
+    names = ["spot7_1234_20240105.tif", "s1_hh_12345_20240106.tif", "a_110105_20240107.tif", "b_1012_2024-01-08.tif", "c_9999_20240109T101112.tif", "d_2024_0110.tif", "e_1234_99999999.tif", "f_20230101123456_20240105.tif"]
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "i int, filename string")
+    got = [r.t for r in df.select(catalog.acquisition_time(F.col("filename")).alias("t")).collect()]
+    days = ["2024-01-05", "2024-01-06", "2024-01-07", "2024-01-08"]
+    assert got == [f"{d}T00:00:00+00:00" for d in days] + ["2024-01-09T10:11:12+00:00", "2024-01-10T00:00:00+00:00", None, "2023-01-01T00:00:00+00:00"]
+
+
 def test_search_passes_unreadable_times(spark):
     s = spark.createDataFrame([(1, 0.0, 0.0, 2.0, 2.0, "Area", "SAR"), (2, 0.0, 0.0, 2.0, 2.0, "2020-01-01", "SAR"), (3, 1.0, 1.0, 3.0, 3.0, "2024-01-01", "SAR")], "scene_id long, xmin double, ymin double, xmax double, ymax double, ts string, modality string")
     got = [(r.scene_id, r.buffer_coverage_pct) for r in catalog.search(s, (0, 0, 2, 2), start="2023-01-01", modality="sar").collect()]
