@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from skysift.functions.boxes import Box, any_of, corners, let, ring_area, ring_box
 from skysift.functions.scores import rounded
 from skysift.functions.utm import reprojected
-from skysift.operators.spatial import overlapping_pairs
+from skysift.operators.spatial import overlapping_pairs, touched_ids
 from skysift.plans.tables import written
 
 _BOX = ("xmin", "ymin", "xmax", "ymax")
@@ -63,8 +63,9 @@ def holds_point(ring: Column, point: Column) -> Column:
 
 def rings_meet(a: Column, b: Column) -> Column:
     """Whether two rings share a point: their edges meet, or one lies within the other."""
-    edges = F.exists(_edges(a), lambda e: F.exists(_edges(b), lambda f: _edges_meet(e, f)))
-    return edges | holds_point(a, F.get(b, F.lit(0))) | holds_point(b, F.get(a, F.lit(0)))
+    # The cheaper tests first; the edges of b are made once.
+    edges = let(_edges(b), lambda other: F.exists(_edges(a), lambda e: F.exists(other, lambda f: _edges_meet(e, f))))
+    return holds_point(a, F.get(b, F.lit(0))) | holds_point(b, F.get(a, F.lit(0))) | edges
 
 
 def shared_area(a: Column, b: Column) -> Column:
@@ -110,19 +111,23 @@ def polygon_pairs(left: DataFrame, right: DataFrame, keys: Sequence[str] = (), *
     return pairs.filter(rings_meet(F.col(f"l_{ring}"), F.col(f"r_{ring}"))).drop(*[p + c for p in ("l_", "r_") for c in _BOX])
 
 
+def touched_polygons(left: DataFrame, right: DataFrame, keys: Sequence[str] = (), *, id_col: str, ring: str = "ring", also: Column | None = None) -> DataFrame:
+    """The ids of `left` whose ring shares a point with one of `right` for which `also` holds; a semi-join, so no pairs are made."""
+    l, r = (d.withColumns(dict(zip(_BOX, ring_box(F.col(ring)), strict=True))) for d in (left.select(id_col, *keys, ring), right.select(*keys, ring)))
+    meet = rings_meet(F.col(f"l_{ring}"), F.col(f"r_{ring}"))
+    return touched_ids(l, r, keys, id_col=id_col, also=meet if also is None else meet & also)
+
+
 def confirmed_polygons(det: DataFrame, footprints: DataFrame, *, id_col: str = "det_id", keys: Sequence[str] = (), ring: str = "ring", least_share: float | None = None) -> DataFrame:
     """Detections that touch a footprint; with `least_share`, by that share of their area with one (convex) footprint."""
-    pairs = polygon_pairs(det.select(id_col, *keys, ring), footprints.select(*keys, ring), keys, ring=ring)
-    if least_share is not None:
-        pairs = pairs.filter(shared_area(F.col(f"l_{ring}"), F.col(f"r_{ring}")) >= least_share * ring_area(F.col(f"l_{ring}")))
-    return det.join(pairs.select(F.col(f"l_{id_col}").alias(id_col)), id_col, "left_semi")
+    share = None if least_share is None else shared_area(F.col(f"l_{ring}"), F.col(f"r_{ring}")) >= least_share * ring_area(F.col(f"l_{ring}"))
+    return det.join(touched_polygons(det, footprints, keys, id_col=id_col, ring=ring, also=share), id_col, "left_semi")
 
 
 def dry_polygons(det: DataFrame, water: DataFrame, land_only: Sequence[str], *, id_col: str = "det_id", keys: Sequence[str] = (), ring: str = "ring") -> DataFrame:
     """All but the land-only classes' detections that touch water."""
-    land = det.filter(F.col("label").isin(list(land_only))).select(id_col, *keys, ring)
-    wet = polygon_pairs(land, water.select(*keys, ring), keys, ring=ring).select(F.col(f"l_{id_col}").alias(id_col))
-    return det.join(wet, id_col, "left_anti")
+    land = det.filter(F.col("label").isin(list(land_only)))
+    return det.join(touched_polygons(land, water, keys, id_col=id_col, ring=ring), id_col, "left_anti")
 
 
 def zonal_polygons(zones: DataFrame, pixels: DataFrame, *, id_col: str, ring: str = "ring", cell: float = 64.0, nodata: float = -9999.0) -> DataFrame:

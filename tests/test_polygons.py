@@ -70,6 +70,23 @@ def test_rings_only_meet_within_their_keys(spark):
     assert {r.det_id for r in po.confirmed_polygons(det, feet).collect()} == {1, 2}
 
 
+def crowd(spark):
+    """60 leaning rings, and 40 others twenty times each; and which of the first meet one of the others."""
+    rng = np.random.default_rng(8)
+    a = [(i, "tent" if i % 3 else "road", [(x + 60 * (i % 2), y) for x, y in leaning(rng)]) for i in range(60)]
+    b = [leaning(rng) for _ in range(3)]
+    meets = {i for i, _, p in a if any(not apart(np.array(p), np.array(q)) for q in b)}
+    return spark.createDataFrame(a, f"det_id int, label string, ring {RING}"), spark.createDataFrame([(q,) for q in b * 20], f"ring {RING}"), meets
+
+
+def test_confirming_rings_makes_no_pairs(spark):
+    det, feet, meets = crowd(spark)
+    found = po.confirmed_polygons(det, feet)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftSemi") == 2 and "Join Inner" not in plan
+    assert 0 < len(meets) < 60 and {r.det_id for r in found.collect()} == meets
+
+
 def test_layer_is_suppressed_typed_and_written(spark, tmp_path):
     at = lambda x: [(x, 0.0), (x + 10, 5.0), (x + 5, 15.0), (x - 5, 10.0)]
     rows = [(1, "building", 0.9, at(0.0)), (2, "building", 0.8, at(1.0)), (3, "building", 0.7, at(2.0)), (4, "building", 0.6, at(40.0)), (5, "tent", 0.5, at(0.0)), (6, "tent", 0.4, at(0.0))]
