@@ -87,6 +87,14 @@ def test_confirming_rings_makes_no_pairs(spark):
     assert 0 < len(meets) < 60 and {r.det_id for r in found.collect()} == meets
 
 
+def test_dry_rings_make_no_pairs(spark):
+    det, water, meets = crowd(spark)
+    dry = po.dry_polygons(det, water, ["tent"])
+    plan = dry._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join LeftSemi" in plan and "Join LeftAnti" in plan and "Join Inner" not in plan
+    assert {r.det_id for r in dry.collect()} == {i for i in range(60) if i % 3 == 0 or i not in meets}
+
+
 def test_layer_is_suppressed_typed_and_written(spark, tmp_path):
     at = lambda x: [(x, 0.0), (x + 10, 5.0), (x + 5, 15.0), (x - 5, 10.0)]
     rows = [(1, "building", 0.9, at(0.0)), (2, "building", 0.8, at(1.0)), (3, "building", 0.7, at(2.0)), (4, "building", 0.6, at(40.0)), (5, "tent", 0.5, at(0.0)), (6, "tent", 0.4, at(0.0))]
