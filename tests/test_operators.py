@@ -72,6 +72,19 @@ def test_soft_suppression_by_brute_force(spark):
     assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-9 for i in got)
 
 
+def test_soft_scores_of_many_boxes():
+    """Pairs apart from all others, by the heap: the worse of each pair decays, and nothing else."""
+    i = np.arange(20000)
+    low = np.stack([i % 400 * 20, i // 400 * 20], 1).astype(float)
+    boxes, scores = np.hstack([low, low + 12]), 0.3 + i * 7919 % 71 / 100
+    boxes[1::2] = boxes[::2] + 4  # each second box over the one before
+    got = suppression.soft_scores(boxes, scores, i, 0.25, lambda overlap: np.exp(-(overlap**2) / 0.5))
+    pair = np.exp(-(float(suppression.pair_iou(boxes[0], boxes[1])) ** 2) / 0.5)
+    first = scores[::2] >= scores[1::2]
+    want = np.where(np.repeat(first, 2) == (i % 2 == 0), scores, scores * pair)
+    assert np.allclose(got, want)
+
+
 def test_fusion_of_two_models(spark):
     df = det(spark, [("a", 0.0, 0.0, 10.0, 10.0, 0.8), ("a", 1.0, 0.0, 11.0, 10.0, 0.6), ("a", 50.0, 50.0, 60.0, 60.0, 0.5)]).withColumn("model_source", F.when(F.col("det_id") == 1, "grounding_dino").otherwise("florence2"))
     rows = {r.anchor: r for r in suppression.fuse_boxes(df).collect()}
