@@ -141,6 +141,24 @@ def test_large_groups_are_matched_without_a_dense_table(spark):
     assert [(i, j) for i, j, _ in got] == [(i, i) for i in range(12000)] and peak < 400e6
 
 
+def test_overlaps_of_a_dense_group_take_a_few_bytes_each():
+    """Memory stays with the overlaps, about 190 a box: blocks of candidates are small, and the rows of the pairs aren't kept."""
+    import tracemalloc
+
+    rng = np.random.default_rng(5)
+    low = rng.integers(0, 600, (2, 6000, 2)).astype(float)
+    gt, pred = np.concatenate([low, low + rng.integers(8, 100, low.shape)], 2)
+    tracemalloc.start()
+    first, columns, ious = evaluation.overlaps(gt, pred)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert first[-1] == len(columns) == len(ious) > 500_000 and peak < 24 * len(columns) + 30e6
+    for i in range(0, 6000, 500):
+        at = evaluation.pair_iou(gt[i], pred)
+        assert columns[first[i] : first[i + 1]].tolist() == np.nonzero(at > 0)[0].tolist()
+        assert ious[first[i] : first[i + 1]].tolist() == at[at > 0].tolist()
+
+
 def test_report_of_a_large_class(spark):
     gt, pred = crowded(spark, 9000, ("a", "b", "c"))
     pairs = evaluation.matches(gt, pred)
