@@ -159,6 +159,19 @@ def test_overlaps_of_a_dense_group_take_a_few_bytes_each():
         assert ious[first[i] : first[i + 1]].tolist() == at[at > 0].tolist()
 
 
+def test_pairs_of_a_group_are_arrays(spark):
+    """No list of tuples is made for a group: `match` is for callers that want one."""
+    gt, pred = crowded(spark, 300)
+    boxes = [np.array([r[3:] for r in d.collect()]) for d in (gt, pred)]
+    rows, columns, ious = evaluation.matched(*boxes)
+    assert [a.dtype.kind for a in (rows, columns, ious)] == ["i", "i", "f"]
+    assert evaluation.match(*boxes) == list(zip(rows.tolist(), columns.tolist(), ious.tolist(), strict=True)) and len(rows) == 300
+    assert evaluation.match(boxes[0][:0], boxes[1]) == evaluation.match(boxes[0], boxes[1][:0]) == []
+    found = {r.gt_id: (r.pred_id, r.iou) for r in evaluation.matches(gt, pred).collect()}
+    ids = [[r.det_id for r in d.collect()] for d in (gt, pred)]
+    assert found == {ids[0][i]: (ids[1][j], x) for i, j, x in zip(rows.tolist(), columns.tolist(), ious.tolist(), strict=True)}
+
+
 def test_report_of_a_large_class(spark):
     gt, pred = crowded(spark, 9000, ("a", "b", "c"))
     pairs = evaluation.matches(gt, pred)
