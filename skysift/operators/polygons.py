@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skysift.functions.boxes import Box, any_of, corners, let, ring_area, ring_box
+from skysift.functions.boxes import Box, any_of, box, corners, let, ring_area, ring_box
 from skysift.functions.scores import rounded
 from skysift.functions.utm import reprojected
 from skysift.operators.spatial import overlapping_pairs, touched_ids
@@ -68,6 +68,20 @@ def rings_meet(a: Column, b: Column) -> Column:
     return holds_point(a, F.get(b, F.lit(0))) | holds_point(b, F.get(a, F.lit(0))) | edges
 
 
+def meets_box(ring: Column, b: Box) -> Column:
+    """Whether a ring shares a point with a box: one of its edges does, or it holds a corner, and so the box."""
+    corner = [F.struct(x.alias("x"), y.alias("y")) for x, y in ((b[0], b[1]), (b[2], b[1]), (b[2], b[3]), (b[0], b[3]))]
+
+    def met(e: Column) -> Column:
+        p, q = e["p"], e["q"]
+        near = (F.least(p["x"], q["x"]) <= b[2]) & (F.greatest(p["x"], q["x"]) >= b[0]) & (F.least(p["y"], q["y"]) <= b[3]) & (F.greatest(p["y"], q["y"]) >= b[1])
+        # Corners on both sides of the edge's line, or on it.
+        sides = [_turn(p, q, c) for c in corner]
+        return near & (F.least(*sides) <= 0) & (F.greatest(*sides) >= 0)
+
+    return F.exists(_edges(ring), met) | holds_point(ring, corner[0])
+
+
 def shared_area(a: Column, b: Column) -> Column:
     """The area that two convex rings share: the one cut by each edge of the other."""
     none = F.array().cast("array<struct<x:double,y:double>>")
@@ -111,11 +125,21 @@ def polygon_pairs(left: DataFrame, right: DataFrame, keys: Sequence[str] = (), *
     return pairs.filter(rings_meet(F.col(f"l_{ring}"), F.col(f"r_{ring}"))).drop(*[p + c for p in ("l_", "r_") for c in _BOX])
 
 
+def _shaped(df: DataFrame, ring: str) -> DataFrame:
+    """The box of each ring, and `__boxed`: whether the ring is its box, as `box_ring` makes it."""
+    r, b = F.col(ring), box()
+    at = lambda p, i: (p["x"] == F.when((i == 0) | (i == 3), b[0]).otherwise(b[2])) & (p["y"] == F.when(i < 2, b[1]).otherwise(b[3]))
+    boxed = (F.size(r) == 4) & ~F.isnan(b[2]) & ~F.isnan(b[3]) & F.forall(F.transform(r, at), lambda same: same)
+    return df.withColumns(dict(zip(_BOX, ring_box(r), strict=True))).withColumn("__boxed", F.coalesce(boxed, F.lit(False)))
+
+
 def touched_polygons(left: DataFrame, right: DataFrame, keys: Sequence[str] = (), *, id_col: str, ring: str = "ring", also: Column | None = None) -> DataFrame:
     """The ids of `left` whose ring shares a point with one of `right` for which `also` holds; a semi-join, so no pairs are made."""
-    l, r = (d.withColumns(dict(zip(_BOX, ring_box(F.col(ring)), strict=True))) for d in (left.select(id_col, *keys, ring), right.select(*keys, ring)))
-    meet = rings_meet(F.col(f"l_{ring}"), F.col(f"r_{ring}"))
-    return touched_ids(l, r, keys, id_col=id_col, also=meet if also is None else meet & also)
+    l, r = _shaped(left.select(id_col, *keys, ring), ring), _shaped(right.select(*keys, ring), ring)
+    a, b = F.col(f"l_{ring}"), F.col(f"r_{ring}")
+    # A box takes a quarter of the tests of edges.
+    exact = F.when(F.col("l___boxed"), meets_box(b, box("l_"))).when(F.col("r___boxed"), meets_box(a, box("r_"))).otherwise(rings_meet(a, b))
+    return touched_ids(l, r, keys, id_col=id_col, also=exact if also is None else exact & also)
 
 
 def confirmed_polygons(det: DataFrame, footprints: DataFrame, *, id_col: str = "det_id", keys: Sequence[str] = (), ring: str = "ring", least_share: float | None = None) -> DataFrame:

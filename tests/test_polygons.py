@@ -95,6 +95,29 @@ def test_dry_rings_make_no_pairs(spark):
     assert {r.det_id for r in dry.collect()} == {i for i in range(60) if i % 3 == 0 or i not in meets}
 
 
+def test_boxes_are_tested_as_boxes(spark):
+    """Small whole numbers, so that many rings only touch a side or a corner, or have no area; the result is that of the test of any two rings."""
+    rng = np.random.default_rng(11)
+    point = lambda: tuple(map(float, rng.integers(0, 9, 2)))
+    low, side = rng.integers(0, 8, (40, 2)), rng.integers(0, 5, (40, 2))
+    boxes = spark.createDataFrame([(i, *map(float, (*a, *(a + d)))) for i, (a, d) in enumerate(zip(low, side, strict=True))], "det_id int, xmin double, ymin double, xmax double, ymax double")
+    hollow = [(0.0, 0.0), (8.0, 0.0), (8.0, 8.0), (7.0, 8.0), (7.0, 1.0), (1.0, 1.0), (1.0, 8.0), (0.0, 8.0)]
+    rings = spark.createDataFrame([(i, [point() for _ in range(1 + i % 4 % 3)]) for i in range(60)] + [(60, hollow)], f"ring_id int, ring {RING}")
+    b = tuple(F.col(c) for c in ("xmin", "ymin", "xmax", "ymax"))
+    both = boxes.crossJoin(rings).withColumns({"quick": po.meets_box(F.col("ring"), b), "any": po.rings_meet(po.box_ring(b), F.col("ring"))})
+    assert both.filter("quick <> any").count() == 0 < both.filter("quick").count() < both.count()
+    det = boxes.withColumn("ring", po.box_ring(b))
+    met = {r.det_id for r in both.filter("any and ring_id % 9 = 0").select("det_id").distinct().collect()}
+    some = rings.filter("ring_id % 9 = 0")
+    assert {r.det_id for r in po.confirmed_polygons(det, some).collect()} == met and 0 < len(met) < 40
+    # The box on the other side, and rings that are boxes by other first points or turned about, which take the general test.
+    held = {r.ring_id for r in both.filter("any and det_id < 2").select("ring_id").distinct().collect()}
+    for feet in (det, det.withColumn("ring", F.reverse("ring")), det.withColumn("ring", F.concat(F.slice("ring", 2, 3), F.slice("ring", 1, 1)))):
+        assert {r.ring_id for r in po.confirmed_polygons(rings, feet.filter("det_id < 2"), id_col="ring_id").collect()} == held
+    plan = po.confirmed_polygons(det, rings)._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE WHEN l___boxed" in plan
+
+
 def test_layer_is_suppressed_typed_and_written(spark, tmp_path):
     at = lambda x: [(x, 0.0), (x + 10, 5.0), (x + 5, 15.0), (x - 5, 10.0)]
     rows = [(1, "building", 0.9, at(0.0)), (2, "building", 0.8, at(1.0)), (3, "building", 0.7, at(2.0)), (4, "building", 0.6, at(40.0)), (5, "tent", 0.5, at(0.0)), (6, "tent", 0.4, at(0.0))]
