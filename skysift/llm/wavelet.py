@@ -98,6 +98,14 @@ class Plane:
         return np.unpackbits(packed, count=self.n, bitorder="little").view(bool)
 
 
+def _parted(values: np.ndarray, bit: np.ndarray) -> np.ndarray:
+    """The values without the bit, then those with it; by places, since a mask costs a mispredicted branch for every other value."""
+    out, zero = np.empty_like(values), np.flatnonzero(~bit)
+    values.take(zero, out=out[: len(zero)], mode="clip")
+    values.take(np.flatnonzero(bit), out=out[len(zero) :], mode="clip")
+    return out
+
+
 class WaveletMatrix:
     """A sequence of unsigned integers as succinct bit planes."""
 
@@ -113,7 +121,7 @@ class WaveletMatrix:
         for level in reversed(range(levels)):
             bit = (now & now.dtype.type(1 << level)).astype(bool)
             planes.append(Plane.of(bit, squeeze))
-            now = np.concatenate([now[~bit], now[bit]])
+            now = _parted(now, bit)
         return cls(planes, len(values))
 
     def access(self, i: int) -> int:
@@ -153,8 +161,8 @@ class WaveletMatrix:
         for k in reversed(range(len(self.planes))):
             bit, zeros = self.planes[k].bits(), self.planes[k].zeros
             before = np.empty_like(now)
-            before[~bit] = now[:zeros]
-            before[bit] = now[zeros:] | now.dtype.type(1 << (len(self.planes) - 1 - k))
+            before[np.flatnonzero(~bit)] = now[:zeros]
+            before[np.flatnonzero(bit)] = now[zeros:] | now.dtype.type(1 << (len(self.planes) - 1 - k))
             now = before
         return now
 
