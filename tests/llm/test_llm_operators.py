@@ -586,6 +586,15 @@ def test_urls_of_odd_rows(spark):
     assert got == [(0, "block"), (1, "allow"), (1, "block"), (1, "block"), (2, "allow")]
 
 
+def test_url_verdicts_are_those_of_the_contract(spark, tmp_path):
+    """The contract's list: block com/en/, allow example.com/en/7, allow net/de/, block example.net/de/8, block org/es/."""
+    want = [("a.com/en/1", "com/en/", "block"), ("example.com/en/7", "example.com/en/7", "allow"), ("a.net/de/1", "net/de/", "allow"), ("example.net/de/7", "net/de/", "allow"), ("example.net/de/8", "example.net/de/8", "block"), ("a.org/es/1", "org/es/", "block"), ("a.org/de/1", None, "allow")]
+    pages = spark.createDataFrame([(i, "http://" + key) for i, (key, _, _) in enumerate(want)], "page_id long, url string")
+    pages.write.parquet(str(tmp_path / "pages.parquet"))
+    got = queries.op7_bloom_cascade(spark, str(tmp_path)).orderBy("page_id").collect()
+    assert [(r.host + r.path, r.rule, r.verdict) for r in got] == want
+
+
 @pytest.mark.parametrize("shard_keys", [10**6, 100])
 def test_cascade_is_exact_over_its_universe(spark, shard_keys):
     keys = spark.range(3000).select(F.concat(F.lit("k"), "id").alias("key"), (F.col("id") % 7 == 0).alias("listed"))
